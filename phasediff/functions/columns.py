@@ -37,25 +37,29 @@ def drop_last(text: Column, word: str) -> Column:
     return F.regexp_replace(text, f"(?s)^(.*){word}", "$1")
 
 
-def lookup(value: Column, mapping: Mapping, default: Column | None = None) -> Column:
-    """Constant code table as one CASE expression: no join, no shuffle."""
-    expr = None
+def sql_literal(value) -> str:
+    return "'" + value.replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
+
+
+def case_sql(value: str, mapping: Mapping, default: str = "NULL") -> str:
+    """SQL of a constant code table: one CASE instead of a join; tuple keys list several codes."""
+    branches = []
     for key, result in mapping.items():
-        test = value.isin(*key) if isinstance(key, tuple) else value == F.lit(key)
-        expr = F.when(test, F.lit(result)) if expr is None else expr.when(test, F.lit(result))
-    return expr if default is None else expr.otherwise(default)
+        codes = ", ".join(sql_literal(k) for k in (key if isinstance(key, tuple) else (key,)))
+        branches.append(f"WHEN {value} IN ({codes}) THEN {sql_literal(result)}")
+    return f"CASE {' '.join(branches)} ELSE {default} END"
+
 
+def lookup(value: str, mapping: Mapping, default: str = "NULL") -> Column:
+    return F.expr(case_sql(value, mapping, default))
 
-def position_in(value: Column, ordered: Iterable[str]) -> Column:
+
+def position_in(value: str, ordered: Iterable[str]) -> Column:
     """Sort ordinal of a listed value; a NULL follows the list, anything else comes last."""
     ordered = list(ordered)
     ranks = {name: i for i, name in enumerate(ordered, start=1)}
-    after = F.when(value.isNull(), F.lit(len(ordered) + 1)).otherwise(F.lit(len(ordered) + 2))
-    return lookup(value, ranks, after)
-
-
-def nulls_last(*names: str) -> list[Column]:
-    return [F.col(name).asc_nulls_last() for name in names]
+    missing, other = len(ordered) + 1, len(ordered) + 2
+    return F.expr(case_sql(value, ranks, f"IF({value} IS NULL, {missing}, {other})"))
 
 
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
@@ -68,4 +72,4 @@ def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
 
 
 def zero_filled(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in columns})
+    return df.withColumns({c: F.expr(f"coalesce({c}, 0)") for c in columns})

@@ -174,7 +174,7 @@ def change_sheet(
         "object_id",
         F.coalesce(F.col("note_part"), F.lit(0)).alias("note_part"),
         F.coalesce(
-            F.col("change_label"), lookup(F.col("object_id"), K.NO_LINES_LABELS)
+            F.col("change_label"), lookup("object_id", K.NO_LINES_LABELS)
         ).alias("change_label"),
         F.col("difference").alias("amount"),
         F.col("position_note").alias("automated_notes"),
@@ -182,7 +182,7 @@ def change_sheet(
     )
     budget = bookends.filter(F.col("change_label").isin(*ends.values())).select(
         "service_id",
-        lookup(F.col("change_label"), {v: k for k, v in ends.items()}).alias("section"),
+        lookup("change_label", {v: k for k, v in ends.items()}).alias("section"),
         F.lit(0).alias("note_part"),
         "change_label",
         "amount",

@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from phasediff import constants as K
-from phasediff.functions.columns import drop_last, sum0, upper_first
+from phasediff.functions.columns import drop_last, sql_literal, sum0, upper_first
 from phasediff.plans.positions import (
     COSTS,
+    KINDS,
     MERGED_KINDS,
     as_text_ids,
-    change_kinds,
+    changed_jobs,
     changes_of_jobs,
     job_diff,
     position_pairs,
@@ -25,58 +26,48 @@ NOTE_PART_CHARS = 1_000_000
 SHARED_SENTENCE = ("service_from", "fund_from", "reclass_to")
 
 
-def _sentence_columns() -> dict[str, Column]:
-    """Number of changes in the sentence and the sentence, from the joined row of a job.
+def _sentence_columns() -> dict[str, str]:
+    """SQL of the number of changes told together, their sentence and the place of each in it.
 
     Changes are told together when they stand on the same agency, service, fund, class and
     indicator. For one job only the inbound kinds can do that, so the group is known from the
-    row and nothing has to be collected.
+    joined row and nothing has to be collected.
     """
-    kinds = change_kinds()
-    told: Column = F.lit(0)
-    parts = []
+    told, parts, places = "0", [], {}
     for name in SHARED_SENTENCE:
-        kind = kinds[name]
-        applies = F.coalesce(kind.applies, F.lit(False))
-        wording = F.when(told == 0, kind.single).otherwise(kind.multiple)
-        parts.append(F.when(applies, wording))
-        told = told + applies.cast("int")
-    both = F.array_compact(F.array(*parts))
-    listed = F.concat(
-        F.array_join(F.slice(both, 1, 2), ", "), F.lit(", and "), F.element_at(both, -1)
-    )
-    joined = F.when(told <= 2, F.array_join(both, " and ")).otherwise(listed)
-    return {"_told": told, "_joined": joined}
+        kind = KINDS[name]
+        places[f"_at_{name}"] = f"{told} + 1"
+        wording = f"IF({told} = 0, {kind.single}, {kind.multiple})"
+        parts.append(f"IF({kind.applies}, {wording}, NULL)")
+        told = f"{told} + IF({kind.applies}, 1, 0)"
+    return {"_told": told, "_parts": f"array_compact(array({', '.join(parts)}))", **places}
+
+
+# Joins the parts of a sentence: "a", "a and b", "a, b, and c".
+_JOINED = """
+    IF(_told <= 2, array_join(_parts, ' and '),
+       concat(array_join(slice(_parts, 1, _told - 1), ', '), ', and ', element_at(_parts, -1)))"""
 
 
 def position_sentences(start: DataFrame, end: DataFrame) -> DataFrame:
     """Every change with the sentence it belongs to and its place in it."""
-    jobs = job_diff(start, end).withColumns(_sentence_columns())
-    kinds = change_kinds()
-    # place of each inbound kind in the sentence, from the same flags
-    earlier: Column = F.lit(1)
-    orders = {}
-    for name in SHARED_SENTENCE:
-        orders[f"_at_{name}"] = earlier
-        earlier = earlier + F.coalesce(kinds[name].applies, F.lit(False)).cast("int")
-    rows = changes_of_jobs(jobs.withColumns(orders), *MERGED_KINDS)
-    shared = F.col("change_type").isin(*SHARED_SENTENCE)
-    place = F.lit(1)
-    for name in SHARED_SENTENCE:
-        place = F.when(F.col("change_type") == name, F.col(f"_at_{name}")).otherwise(place)
-    text = upper_first(F.when(shared, F.col("_joined")).otherwise(F.col("change_single")))
-    helpers = ["change_single", "change_multiple", "_told", "_joined", *orders]
-    return (
-        rows.withColumns(
-            {
-                "change_num": F.when(shared, F.col("_told")).otherwise(F.lit(1)),
-                "change_order": place,
-            }
-        )
-        .withColumn(
-            "change", F.when(F.col("change_num") > 1, drop_last(text, "transfer")).otherwise(text)
-        )
-        .drop(*helpers)
+    helpers = _sentence_columns()
+    jobs = changed_jobs(job_diff(start, end), *MERGED_KINDS)
+    told = jobs.withColumns({c: F.expr(sql) for c, sql in helpers.items()})
+    rows = changes_of_jobs(told, *MERGED_KINDS)
+    shared = f"change_type IN ({', '.join(sql_literal(k) for k in SHARED_SENTENCE)})"
+    places = " ".join(f"WHEN '{k}' THEN _at_{k}" for k in SHARED_SENTENCE)
+    text = upper_first(F.expr(f"IF({shared}, {_JOINED}, change_single)"))
+    numbered = rows.withColumns(
+        {
+            "change_num": F.expr(f"IF({shared}, _told, 1)"),
+            "change_order": F.expr(f"CASE change_type {places} ELSE 1 END"),
+            "change": text,
+        }
+    )
+    shorter = F.when(F.col("change_num") > 1, drop_last(F.col("change"), "transfer"))
+    return numbered.withColumn("change", shorter.otherwise(F.col("change"))).drop(
+        "change_single", "change_multiple", *helpers
     )
 
 
@@ -206,5 +197,5 @@ def position_note(summary: DataFrame, part_chars: int = NOTE_PART_CHARS) -> Data
 
 def _ordered_text(entry: Column, field: str) -> Column:
     """Texts of a group in the order of the struct's leading fields."""
-    ordered = F.array_sort(F.collect_list(entry))
+    ordered = F.sort_array(F.collect_list(entry))
     return F.array_join(F.transform(ordered, lambda x: x[field]), NOTE_SEPARATOR)

@@ -12,11 +12,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phasediff import constants as K
-from phasediff.functions.columns import numeric_columns, zero_filled
+from phasediff.functions.columns import lookup, numeric_columns, sql_literal, zero_filled
 
 JOB = "job_number"
 PLACE = ["agency_id", "agency_name", "service_id", "service_name"]
@@ -30,12 +30,12 @@ def position_clean(positions: DataFrame) -> DataFrame:
     """Drop single cost-code columns, fill missing numbers with 0, derive other personnel costs."""
     kept = positions.select(*[c for c in positions.columns if not c.lower().startswith("oso")])
     filled = zero_filled(kept, numeric_columns(kept, exclude=[JOB]))
-    return filled.withColumn("opcs", F.col("total_cost") - F.col("salary"))
+    return filled.withColumn("opcs", F.expr("total_cost - salary"))
 
 
 def _side(positions: DataFrame, prefix: str) -> DataFrame:
     clean = position_clean(positions)
-    return clean.select(*[F.col(c).alias(prefix + c) for c in (JOB, *PLACE, *KIND, *COSTS)])
+    return clean.selectExpr(*[f"{c} AS {prefix}{c}" for c in (JOB, *PLACE, *KIND, *COSTS)])
 
 
 def _checked_side(positions: DataFrame, prefix: str) -> DataFrame:
@@ -43,14 +43,12 @@ def _checked_side(positions: DataFrame, prefix: str) -> DataFrame:
 
     The count runs over the partitioning and order the join needs anyway.
     """
-    side = _side(positions, prefix)
-    key = F.col(prefix + JOB)
-    per_job = F.count(F.lit(1)).over(Window.partitionBy(key))
-    broken = key.isNull() | (F.col("_n") > 1)
-    fail = F.raise_error(F.lit("job_number must be present and unique in a snapshot"))
+    key = prefix + JOB
+    message = "'job_number must be present and unique in a snapshot'"
     return (
-        side.withColumn("_n", per_job)
-        .filter(F.when(broken, fail.cast("boolean")).otherwise(F.lit(True)))
+        _side(positions, prefix)
+        .withColumn("_n", F.expr(f"count(1) OVER (PARTITION BY {key})"))
+        .filter(f"IF({key} IS NULL OR _n > 1, CAST(raise_error({message}) AS BOOLEAN), TRUE)")
         .drop("_n")
     )
 
@@ -67,144 +65,152 @@ def position_pairs(start: DataFrame, end: DataFrame) -> DataFrame:
     return s.join(e, s[f"s_{JOB}"] == e[f"e_{JOB}"], "inner")
 
 
-def _s(name: str) -> Column:
-    return F.col(f"s_{name}")
+def _text(*parts: str) -> str:
+    """SQL of a joined text in which a missing value reads "NA".
 
-
-def _e(name: str) -> Column:
-    return F.col(f"e_{name}")
-
-
-def _text(*parts: Column | str) -> Column:
-    """Joined text in which a missing value reads "NA"."""
-    return F.concat(
-        *[
-            F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("NA"))
-            for p in parts
-        ]
-    )
+    A part that names a column of either side stands for its value, any other part for itself.
+    """
+    values = [
+        f"coalesce(CAST({p} AS STRING), 'NA')" if p[:2] in ("s_", "e_") else sql_literal(p)
+        for p in parts
+    ]
+    return f"concat({', '.join(values)})"
 
 
 @dataclass(frozen=True)
 class Change:
-    """One kind of change: when it applies, its net count, its wordings and where it stands."""
+    """One kind of change, in SQL over a joined row: when it applies, what it says, its net count.
 
-    applies: Column
+    `place` is the side (`s_` or `e_`) its agency and service come from, `kind` the side of its
+    fund, class and indicator.
+    """
+
+    applies: str
     net: int | None
-    single: Column
-    multiple: Column | None
+    single: str
+    multiple: str = "CAST(NULL AS STRING)"
     place: str = "e_"
     kind: str = "e_"
 
 
-def change_kinds() -> dict[str, Change]:
-    both = _s(JOB).isNotNull() & _e(JOB).isNotNull()
-    was_general = _s("fund_id") == K.GENERAL_FUND_ID
-    now_general = _e("fund_id") == K.GENERAL_FUND_ID
-    moved_service = both & (_s("service_id") != _e("service_id"))
-    moved_fund = both & (_s("fund_id") != _e("fund_id"))
+_BOTH = f"s_{JOB} IS NOT NULL AND e_{JOB} IS NOT NULL"
+_MOVED_SERVICE = f"{_BOTH} AND s_service_id <> e_service_id"
+_MOVED_FUND = f"{_BOTH} AND s_fund_id <> e_fund_id"
 
-    def transfer(detail: Column, lead: str = "transfer ") -> dict[str, Column]:
-        return {
-            "single": _text("transfer XX ", _s("class_name"), " position ", detail),
-            "multiple": _text(lead, detail),
-        }
-
-    to_service = _text("to Service ", _e("service_id"), ": ", _e("service_name"))
-    from_service = _text("from Service ", _s("service_id"), ": ", _s("service_name"))
-    to_fund = _text("to ", _e("fund_name"), " Fund from General Fund")
-    from_fund = _text("from ", _s("fund_name"), " Fund to General Fund")
-    other_funds = _text("from ", _s("fund_name"), " Fund to ", _e("fund_name"), " Fund")
 
+def _transfer(*detail: str, lead: str = "transfer ") -> dict[str, str]:
     return {
-        "create": Change(
-            _s(JOB).isNull() & (_e("fund_name") == K.GENERAL_FUND_NAME),
-            1,
-            _text("create XX ", _e("class_name"), " position"),
-            None,
-        ),
-        "service_to": Change(
-            moved_service, -1, **transfer(to_service), place="s_", kind="s_"
-        ),
-        "service_from": Change(moved_service, 1, **transfer(from_service)),
-        "fund_to": Change(moved_fund & was_general, -1, **transfer(to_fund), kind="s_"),
-        "fund_from": Change(moved_fund & now_general, 1, **transfer(from_fund)),
-        "eliminate": Change(
-            _e(JOB).isNull(),
-            -1,
-            _text("eliminate XX ", _s("class_name"), " position"),
-            None,
-            place="s_",
-            kind="s_",
-        ),
-        "reclass_to": Change(
-            both & (_s("class_id") != _e("class_id")),
-            0,
-            _text(
-                "reclassify XX ", _s("class_name"), " position to ", _e("class_name")
-            ),
-            _text("reclassify to ", _e("class_name")),
-        ),
-        "fund_non_gf": Change(
-            moved_fund & ~was_general & ~now_general,
-            None,
-            **transfer(other_funds, lead=" transfer "),
-        ),
+        "single": _text("transfer XX ", "s_class_name", " position ", *detail),
+        "multiple": _text(lead, *detail),
     }
 
 
+KINDS: dict[str, Change] = {
+    "create": Change(
+        f"s_{JOB} IS NULL AND e_fund_name = '{K.GENERAL_FUND_NAME}'",
+        1,
+        _text("create XX ", "e_class_name", " position"),
+    ),
+    "service_to": Change(
+        _MOVED_SERVICE,
+        -1,
+        **_transfer("to Service ", "e_service_id", ": ", "e_service_name"),
+        place="s_",
+        kind="s_",
+    ),
+    "service_from": Change(
+        _MOVED_SERVICE,
+        1,
+        **_transfer("from Service ", "s_service_id", ": ", "s_service_name"),
+    ),
+    "fund_to": Change(
+        f"{_MOVED_FUND} AND s_fund_id = {K.GENERAL_FUND_ID}",
+        -1,
+        **_transfer("to ", "e_fund_name", " Fund from General Fund"),
+        kind="s_",
+    ),
+    "fund_from": Change(
+        f"{_MOVED_FUND} AND e_fund_id = {K.GENERAL_FUND_ID}",
+        1,
+        **_transfer("from ", "s_fund_name", " Fund to General Fund"),
+    ),
+    "eliminate": Change(
+        f"e_{JOB} IS NULL",
+        -1,
+        _text("eliminate XX ", "s_class_name", " position"),
+        place="s_",
+        kind="s_",
+    ),
+    "reclass_to": Change(
+        f"{_BOTH} AND s_class_id <> e_class_id",
+        0,
+        _text("reclassify XX ", "s_class_name", " position to ", "e_class_name"),
+        _text("reclassify to ", "e_class_name"),
+    ),
+    "fund_non_gf": Change(
+        f"{_MOVED_FUND} AND {K.GENERAL_FUND_ID} NOT IN (s_fund_id, e_fund_id)",
+        None,
+        **_transfer("from ", "s_fund_name", " Fund to ", "e_fund_name", " Fund", lead=" transfer "),
+    ),
+}
+
+
+def changed_jobs(jobs: DataFrame, *kinds: str) -> DataFrame:
+    """Only the jobs something happened to, before any text is built for them."""
+    return jobs.filter(" OR ".join(f"({KINDS[k].applies})" for k in kinds))
+
+
 def _changes_of_kind(jobs: DataFrame, *kinds: str) -> DataFrame:
     """Rows of the given kinds, stacked, with the costs of both snapshots as they were."""
-    known = change_kinds()
-    wanted = {k: known[k] for k in kinds}
-    tagged = jobs.withColumn(
-        "change_type",
-        F.explode(
-            F.array_compact(F.array(*[F.when(c.applies, F.lit(k)) for k, c in wanted.items()]))
-        ),
-    )
+    tags = ", ".join(f"IF({KINDS[k].applies}, '{k}', NULL)" for k in kinds)
+
+    def by_kind(value) -> str:
+        """CASE over the kinds, those with equal results in one branch."""
+        results: dict[str, list[str]] = {}
+        for k in kinds:
+            results.setdefault(value(KINDS[k]), []).append(f"'{k}'")
+        if len(results) == 1:
+            return next(iter(results))
+        branches = [f"WHEN change_type IN ({', '.join(ks)}) THEN {r}" for r, ks in results.items()]
+        return f"CASE {' '.join(branches)} END"
+
+    columns = {JOB: f"coalesce(e_{JOB}, s_{JOB})"}
+    columns |= {n: by_kind(lambda c, n=n: c.place + n) for n in PLACE}
+    columns |= {n: by_kind(lambda c, n=n: c.kind + n) for n in KIND}
+    columns |= {
+        "change_single": by_kind(lambda c: c.single),
+        "change_multiple": by_kind(lambda c: c.multiple),
+        "change_net": by_kind(lambda c: "CAST(NULL AS INT)" if c.net is None else str(c.net)),
+    }
+    for n in COSTS:
+        columns |= {f"{n}_start": f"s_{n}", f"{n}_end": f"e_{n}"}
+    helpers = [c for c in jobs.columns if c.startswith("_")]
+    return changed_jobs(jobs, *kinds).withColumn(
+        "change_type", F.expr(f"explode(array_compact(array({tags})))")
+    ).selectExpr("change_type", *[f"{v} AS {n}" for n, v in columns.items()], *helpers)
 
-    def by_kind(value) -> Column:
-        expr = None
-        for k, change in wanted.items():
-            test, result = F.col("change_type") == k, value(change)
-            expr = F.when(test, result) if expr is None else expr.when(test, result)
-        return expr
-
-    return tagged.select(
-        "change_type",
-        F.coalesce(_e(JOB), _s(JOB)).alias(JOB),
-        *[by_kind(lambda c, n=n: F.col(c.place + n)).alias(n) for n in PLACE],
-        *[by_kind(lambda c, n=n: F.col(c.kind + n)).alias(n) for n in KIND],
-        by_kind(lambda c: c.single).alias("change_single"),
-        by_kind(lambda c: F.lit(None).cast("string") if c.multiple is None else c.multiple).alias(
-            "change_multiple"
-        ),
-        by_kind(lambda c: F.lit(c.net).cast("int")).alias("change_net"),
-        *[f for n in COSTS for f in (_s(n).alias(f"{n}_start"), _e(n).alias(f"{n}_end"))],
-        *[c for c in jobs.columns if c.startswith("_")],
-    )
 
-
-def _absent(side: DataFrame, other: DataFrame, prefix: str) -> DataFrame:
-    """Give a one-sided frame the NULL columns of the other side."""
-    return side.withColumns(
-        {prefix + f.name[2:]: F.lit(None).cast(f.dataType) for f in other.schema.fields}
-    )
+def _absent(side: DataFrame, prefix: str) -> DataFrame:
+    """Give a one-sided frame the columns of the other side, all NULL."""
+    nulls = [
+        f"CAST(NULL AS {f.dataType.simpleString()}) AS {prefix}{f.name[2:]}"
+        for f in side.schema.fields
+    ]
+    return side.selectExpr("*", *nulls)
 
 
 def positions_created(start: DataFrame, end: DataFrame) -> DataFrame:
     """Jobs only in the end snapshot, general fund only."""
     s, e = _side(start, "s_"), _side(end, "e_")
     only = e.join(s.select(f"s_{JOB}"), e[f"e_{JOB}"].eqNullSafe(s[f"s_{JOB}"]), "left_anti")
-    return _changes_of_kind(_absent(only, e, "s_"), "create")
+    return _changes_of_kind(_absent(only, "s_"), "create")
 
 
 def positions_eliminated(start: DataFrame, end: DataFrame) -> DataFrame:
     """Jobs only in the start snapshot, whatever their fund."""
     s, e = _side(start, "s_"), _side(end, "e_")
     only = s.join(e.select(f"e_{JOB}"), s[f"s_{JOB}"].eqNullSafe(e[f"e_{JOB}"]), "left_anti")
-    return _changes_of_kind(_absent(only, s, "e_"), "eliminate")
+    return _changes_of_kind(_absent(only, "e_"), "eliminate")
 
 
 def positions_service_in(pairs: DataFrame) -> DataFrame:
@@ -225,39 +231,39 @@ def positions_fund_moves(pairs: DataFrame) -> DataFrame:
 
 
 def positions_fund_out(fund_moves: DataFrame) -> DataFrame:
-    return fund_moves.filter(F.col("change_type") == "fund_to")
+    return fund_moves.filter("change_type = 'fund_to'")
 
 
 def positions_fund_in(fund_moves: DataFrame) -> DataFrame:
-    return fund_moves.filter(F.col("change_type") == "fund_from")
+    return fund_moves.filter("change_type = 'fund_from'")
 
 
 def positions_fund_non_gf(fund_moves: DataFrame) -> DataFrame:
-    return fund_moves.filter(F.col("change_type") == "fund_non_gf")
+    return fund_moves.filter("change_type = 'fund_non_gf'")
 
 
 def as_text_ids(changes: DataFrame) -> DataFrame:
     ids = ["agency_id", "service_id", "fund_id", JOB, "class_id", "si_id"]
-    return changes.withColumns({c: F.col(c).cast("string") for c in ids})
+    return changes.withColumns({c: F.expr(f"CAST({c} AS STRING)") for c in ids})
+
+
+def _kind_list(kinds: tuple[str, ...]) -> str:
+    return ", ".join(f"'{k}'" for k in kinds)
 
 
 def attribute_costs(changes: DataFrame) -> DataFrame:
     """A moved job counts in full: nothing before on its new place, nothing after on its old."""
-    costs = [f"{n}_{when}" for n in COSTS for when in ("start", "end")]
-    filled = zero_filled(changes, costs)
-    moved = {"start": INBOUND, "end": OUTBOUND}
-    attributed = filled.withColumns(
+    moved = {"start": _kind_list(INBOUND), "end": _kind_list(OUTBOUND)}
+    attributed = changes.withColumns(
         {
-            f"{n}_{when}": F.when(F.col("change_type").isin(*kinds), F.lit(0)).otherwise(
-                F.col(f"{n}_{when}")
+            f"{n}_{when}": F.expr(
+                f"IF(change_type IN ({kinds}), 0, coalesce({n}_{when}, 0))"
             )
             for n in COSTS
             for when, kinds in moved.items()
         }
     )
-    return attributed.withColumns(
-        {f"{n}_diff": F.col(f"{n}_end") - F.col(f"{n}_start") for n in COSTS}
-    )
+    return attributed.withColumns({f"{n}_diff": F.expr(f"{n}_end - {n}_start") for n in COSTS})
 
 
 MERGED_KINDS = tuple(k for k in K.CHANGE_TYPES if k != "fund_non_gf")
@@ -266,8 +272,8 @@ MERGED_KINDS = tuple(k for k in K.CHANGE_TYPES if k != "fund_non_gf")
 def changes_of_jobs(jobs: DataFrame, *kinds: str) -> DataFrame:
     """Changes with attributed costs; `type_order` is the display order of the kinds."""
     rows = attribute_costs(_changes_of_kind(jobs, *kinds))
-    order = F.array_position(F.array(*[F.lit(k) for k in K.CHANGE_TYPES]), F.col("change_type"))
-    return as_text_ids(rows).withColumn("type_order", order.cast("int"))
+    order = {k: i for i, k in enumerate(K.CHANGE_TYPES, start=1)}
+    return as_text_ids(rows).withColumn("type_order", lookup("change_type", order))
 
 
 def position_changes(start: DataFrame, end: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phasediff import constants as K
-from phasediff.functions.columns import lookup, position_in, sum0, zero_filled
+from phasediff.functions.columns import lookup, position_in, sql_literal, sum0, zero_filled
 from phasediff.operators.joins import null_safe_join
 
 PHASES = ["prior_actual", "adopted", "cls", "request"]
@@ -84,9 +84,9 @@ def service_row_counts(summary: DataFrame) -> DataFrame:
     )
 
 
-def driver_bucket(subobject: Column) -> Column:
-    codes = {tuple(ids): bucket for bucket, ids in K.DRIVER_BUCKETS.items()}
-    return lookup(subobject, codes, F.lit(K.OTHER_DRIVERS))
+def driver_bucket(subobject: str) -> Column:
+    codes = {ids: bucket for bucket, ids in K.DRIVER_BUCKETS.items()}
+    return lookup(subobject, codes, sql_literal(K.OTHER_DRIVERS))
 
 
 def cost_drivers(cls: DataFrame, prop: DataFrame) -> DataFrame:
@@ -105,7 +105,7 @@ def cost_drivers(cls: DataFrame, prop: DataFrame) -> DataFrame:
         .agg(sum0("cls_amount").alias("cls"))
     )
     joined = null_safe_join(requested, current, on).withColumns(
-        {"bucket": driver_bucket(F.col("subobject_id")), "diff": F.col("cls") - F.col("adopted")}
+        {"bucket": driver_bucket("subobject_id"), "diff": F.col("cls") - F.col("adopted")}
     )
     return (
         joined.groupBy("agency_name", "service_id", "service_name", "fund_name", "bucket")
@@ -139,7 +139,7 @@ def service_budget_table(summary: DataFrame) -> DataFrame:
         F.lit(0).alias("tls"),
         change.alias("change"),
         F.when(untold, F.lit(None)).otherwise(F.bround(ratio, 1)).alias("change_pct"),
-        position_in(F.col("fund_name"), K.FUND_ORDER).alias("fund_order"),
+        position_in("fund_name", K.FUND_ORDER).alias("fund_order"),
     )
 
 

@@ -6,13 +6,14 @@ positions. Code tables are expressions, so only the service dimension is joined.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cache, cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from phasediff import constants as K
-from phasediff.functions.columns import lookup
+from phasediff.functions.columns import case_sql, sql_literal
 from phasediff.operators.joins import estimated_bytes, lookup_join
 from phasediff.plans.finance import line_summary_wide
 
@@ -58,15 +59,21 @@ SHEET_ROWS = (
 )
 
 
-def money(col: str | Column) -> Column:
-    return (F.col(col) if isinstance(col, str) else col).cast("decimal(18,2)")
+def _fund_columns(code: str, table: dict[int, tuple[int, str]]) -> list[str]:
+    ids, names = {k: v[0] for k, v in table.items()}, {k: v[1] for k, v in table.items()}
+    return [f"{case_sql(code, ids)} AS fund_id", f"{case_sql(code, names)} AS fund_name"]
 
 
-def _pair(code: Column, table: dict[int, tuple[int, str]]) -> dict[str, Column]:
-    return {
-        "fund_id": lookup(code, {k: v[0] for k, v in table.items()}),
-        "fund_name": lookup(code, {k: v[1] for k, v in table.items()}),
-    }
+def _tab(service: str = "service_id") -> str:
+    """Tab name of a service: its number with at least three digits."""
+    text = f"CAST({service} AS STRING)"
+    return f"IF(length({text}) < 3, lpad({text}, 3, '0'), {text})"
+
+
+@cache
+def _table_schema(path: str) -> T.StructType:
+    """Schema of a test table, read from its footer once per process."""
+    return SparkSession.active().read.parquet(path).schema
 
 
 class Fixtures:
@@ -77,7 +84,8 @@ class Fixtures:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        return self.spark.read.schema(_table_schema(path)).parquet(path)
 
     @cached_property
     def _dims(self) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -89,64 +97,57 @@ class Fixtures:
         sizes = [estimated_bytes(d) for d in self._dims]
         return None if None in sizes else sum(sizes)
 
+    @cached_property
+    def service_agency(self) -> DataFrame:
+        supplier, nation, _ = self._dims
+        return lookup_join(
+            supplier.selectExpr(
+                "CAST(s_suppkey AS BIGINT) AS service_id",
+                "s_name AS service_name",
+                "CAST(s_nationkey AS INT) AS agency_id",
+            ),
+            nation.selectExpr(
+                "CAST(n_nationkey AS INT) AS agency_id",
+                "n_name AS agency_name",
+                "n_regionkey AS region_id",
+            ),
+            ["agency_id"],
+        )
+
     @cached_property
     def service(self) -> DataFrame:
-        supplier, nation, region = self._dims
-        return (
-            lookup_join(
-                lookup_join(
-                    supplier.select(
-                        F.col("s_suppkey").cast("bigint").alias("service_id"),
-                        F.col("s_name").alias("service_name"),
-                        F.col("s_nationkey").cast("int").alias("agency_id"),
-                    ),
-                    nation.select(
-                        F.col("n_nationkey").cast("int").alias("agency_id"),
-                        F.col("n_name").alias("agency_name"),
-                        F.col("n_regionkey").alias("region_id"),
-                    ),
-                    ["agency_id"],
-                ),
-                region.select(
-                    F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("objective_name")
-                ),
-                ["region_id"],
-            )
-            .select("service_id", "service_name", "agency_id", "agency_name", "objective_name")
+        pillars = self._dims[2].selectExpr("r_regionkey AS region_id", "r_name AS objective_name")
+        return lookup_join(self.service_agency, pillars, ["region_id"]).select(
+            "service_id", "service_name", "agency_id", "agency_name", "objective_name"
         )
 
-    def with_service(self, fact: DataFrame) -> DataFrame:
-        return lookup_join(fact, self.service, ["service_id"], dim_bytes=self.service_bytes)
+    def with_service(self, fact: DataFrame, services: DataFrame) -> DataFrame:
+        return lookup_join(fact, services, ["service_id"], dim_bytes=self.service_bytes)
 
     @cached_property
     def budget_line(self) -> DataFrame:
-        start, qty = money("l_extendedprice"), money("l_quantity")
-        step = (F.col("l_orderkey") % 3 - 1).cast("decimal(2,0)")
-        idle = F.col("l_suppkey") % 20 == 7
-        object_id = (F.col("l_partkey") % 10).cast("int")
+        start, qty = "CAST(l_extendedprice AS DECIMAL(18,2))", "CAST(l_quantity AS DECIMAL(18,2))"
+        end = f"{start} + {qty} * CAST(l_orderkey % 3 - 1 AS DECIMAL(2,0))"
+        object_id = "CAST(l_partkey % 10 AS INT)"
+
+        def amount(value: str, missing: int) -> str:
+            case = f"CASE WHEN l_suppkey % 20 = 7 THEN 0 WHEN l_orderkey % {missing} = 0 THEN NULL"
+            return f"CAST({case} ELSE {value} END AS DECIMAL(18,2))"
+
         lines = self.table("lineitem").filter(
-            ((F.col("l_suppkey") + F.col("l_partkey") % 10) % 9 != 0)
-            & F.col("l_linenumber").isin(*LINE_FUNDS)
+            "(l_suppkey + l_partkey % 10) % 9 <> 0 AND l_linenumber BETWEEN 1 AND 7"
         )
-        fact = lines.select(
-            F.col("l_suppkey").cast("bigint").alias("service_id"),
-            *[c.alias(n) for n, c in _pair(F.col("l_linenumber"), LINE_FUNDS).items()],
-            object_id.alias("object_id"),
-            lookup(object_id, OBJECTS).alias("object_name"),
-            lookup(F.col("l_orderkey") % 10, dict(enumerate(SUBOBJECTS))).alias("subobject_id"),
-            F.when(F.col("l_quantity") > 45, F.lit("policy")).alias("justification"),
-            F.when(idle, F.lit(0))
-            .when(F.col("l_orderkey") % 17 == 0, F.lit(None))
-            .otherwise(start)
-            .cast("decimal(18,2)")
-            .alias("amount_start"),
-            F.when(idle, F.lit(0))
-            .when(F.col("l_orderkey") % 19 == 0, F.lit(None))
-            .otherwise(start + qty * step)
-            .cast("decimal(18,2)")
-            .alias("amount_end"),
+        fact = lines.selectExpr(
+            "CAST(l_suppkey AS BIGINT) AS service_id",
+            *_fund_columns("l_linenumber", LINE_FUNDS),
+            f"{object_id} AS object_id",
+            f"{case_sql(object_id, OBJECTS)} AS object_name",
+            f"{case_sql('l_orderkey % 10', dict(enumerate(SUBOBJECTS)))} AS subobject_id",
+            "IF(l_quantity > 45, 'policy', NULL) AS justification",
+            f"{amount(start, 17)} AS amount_start",
+            f"{amount(end, 19)} AS amount_end",
         )
-        return self.with_service(fact).select(
+        return self.with_service(fact, self.service).select(
             "agency_id",
             "agency_name",
             "service_id",
@@ -162,33 +163,30 @@ class Fixtures:
             "amount_end",
         )
 
-    def _positions(self, kept: Column, moved: bool) -> DataFrame:
-        key, customer = F.col("o_orderkey"), F.col("o_custkey")
-        services = self.table("supplier").agg(F.count(F.lit(1))).scalar()
-
-        def shift(every: int) -> Column:
-            return F.when(key % every == 0, F.lit(1)).otherwise(F.lit(0)) if moved else F.lit(0)
-
-        grade = F.substr(F.col("o_orderpriority"), F.lit(1), F.lit(1)).cast("int")
-        class_id = ((grade - 1 + shift(11)) % 5 + 1).cast("int")
-        salary = money("o_totalprice") + (500 if moved else 0)
-        total_row = key % 997 == 0
-        fact = self.table("orders").filter(kept).select(
-            key.alias("job_number"),
-            ((customer + shift(7)) % services).cast("bigint").alias("service_id"),
-            *[c.alias(n) for n, c in _pair((key + shift(13)) % 4, POSITION_FUNDS).items()],
-            class_id.alias("class_id"),
-            lookup(class_id, CLASSES).alias("class_name"),
-            F.col("o_orderstatus").alias("si_id"),
-            money(salary).alias("salary"),
-            money(salary + (key % 1000).cast("decimal(18,2)")).alias("total_cost"),
-            total_row.alias("_total_row"),
+    def _positions(self, kept: str, moved: bool) -> DataFrame:
+        def shift(every: int) -> str:
+            return f"IF(o_orderkey % {every} = 0, 1, 0)" if moved else "0"
+
+        class_id = (
+            f"CAST((CAST(substr(o_orderpriority, 1, 1) AS INT) - 1 + {shift(11)}) % 5 + 1 AS INT)"
         )
-        named = self.with_service(fact)
-        unless_total = [
-            F.when(~F.col("_total_row"), F.col(c)).alias(c) for c in ("agency_id", "agency_name")
-        ]
-        rest = [
+        salary = f"CAST(o_totalprice AS DECIMAL(18,2)) + {500 if moved else 0}"
+        services = self._dims[0].agg(F.count(F.lit(1))).scalar()
+        fact = self.table("orders").filter(kept).selectExpr(
+            "o_orderkey AS job_number",
+            f"o_custkey + {shift(7)} AS _customer",
+            *_fund_columns(f"(o_orderkey + {shift(13)}) % 4", POSITION_FUNDS),
+            f"{class_id} AS class_id",
+            f"{case_sql(class_id, CLASSES)} AS class_name",
+            "o_orderstatus AS si_id",
+            f"CAST({salary} AS DECIMAL(18,2)) AS salary",
+            f"CAST({salary} + CAST(o_orderkey % 1000 AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS total_cost",
+        )
+        placed = fact.withColumn("service_id", F.col("_customer") % services)
+        return self.with_service(placed, self.service_agency).selectExpr(
+            "job_number",
+            "IF(job_number % 997 = 0, NULL, agency_id) AS agency_id",
+            "IF(job_number % 997 = 0, NULL, agency_name) AS agency_name",
             "service_id",
             "service_name",
             "fund_id",
@@ -198,25 +196,23 @@ class Fixtures:
             "si_id",
             "salary",
             "total_cost",
-        ]
-        return named.select("job_number", *unless_total, *rest)
+        )
 
     @cached_property
     def pos_start(self) -> DataFrame:
-        return self._positions(F.col("o_orderkey") % 10 != 0, moved=False)
+        return self._positions("o_orderkey % 10 <> 0", moved=False)
 
     @cached_property
     def pos_end(self) -> DataFrame:
-        return self._positions(F.col("o_orderkey") % 10 != 1, moved=True)
+        return self._positions("o_orderkey % 10 <> 1", moved=True)
 
     @cached_property
     def pos_phases(self) -> dict[str, DataFrame]:
-        job = F.col("job_number")
         return {
             "planning": self.pos_end,
-            "cls": self.pos_end.filter(job % 50 != 3),
+            "cls": self.pos_end.filter("job_number % 50 <> 3"),
             "projection": self.pos_start,
-            "prior": self.pos_start.filter(job % 25 != 2),
+            "prior": self.pos_start.filter("job_number % 25 <> 2"),
         }
 
     _EXPEND_DIMS = [
@@ -232,75 +228,56 @@ class Fixtures:
 
     @cached_property
     def expend_cls(self) -> DataFrame:
-        return self.budget_line.filter(F.col("service_id") % 13 != 5).select(
-            *self._EXPEND_DIMS, F.col("amount_end").alias("cls_amount")
+        return self.budget_line.filter("service_id % 13 <> 5").selectExpr(
+            *self._EXPEND_DIMS, "amount_end AS cls_amount"
         )
 
     @cached_property
     def expend_prop(self) -> DataFrame:
-        request = F.when(F.col("object_id") == 3, F.col("amount_end") + 250).otherwise(
-            F.col("amount_end")
-        )
-        return self.budget_line.filter(F.col("service_id") % 13 != 6).select(
+        return self.budget_line.filter("service_id % 13 <> 6").selectExpr(
             *self._EXPEND_DIMS,
-            (F.col("amount_start") - 100).alias("prior_actual"),
-            F.col("amount_start").alias("adopted"),
-            request.alias("request"),
+            "amount_start - 100 AS prior_actual",
+            "amount_start AS adopted",
+            "IF(object_id = 3, amount_end + 250, amount_end) AS request",
         )
 
     @cached_property
     def assignment(self) -> DataFrame:
-        agency = F.col("agency_id")
         return (
             self.service.select("agency_id", "agency_name")
             .distinct()
-            .select(
+            .selectExpr(
                 "agency_id",
                 "agency_name",
-                F.concat(F.lit("Clean "), "agency_name").alias("agency_clean"),
-                F.concat(F.lit("A"), agency.cast("string")).alias("agency_short"),
-                F.when(
-                    agency % 9 != 4, F.concat(F.lit("analyst_"), (agency % 5).cast("string"))
-                ).alias("analyst"),
-                (agency % 8 != 7).alias("operational"),
+                "concat('Clean ', agency_name) AS agency_clean",
+                "concat('A', agency_id) AS agency_short",
+                "IF(agency_id % 9 = 4, NULL, concat('analyst_', agency_id % 5)) AS analyst",
+                "agency_id % 8 <> 7 AS operational",
             )
         )
 
     @cached_property
     def sheet_row(self) -> DataFrame:
-        fields = ["row_no", "change_label", "c12", "c13", "rec", "c16", "c17", "c18"]
-        layout = F.array(
-            *[
-                F.struct(
-                    F.lit(row[0]).alias("row_no"),
-                    *[
-                        F.lit(v).cast("string").alias(n)
-                        for n, v in zip(fields[1:], row[1:], strict=True)
-                    ],
-                )
-                for row in SHEET_ROWS
-            ]
-        )
-        rows = self.service.select("*", F.inline(layout))
-        sid, rec = F.col("service_id"), F.col("rec")
-        tab = sid.cast("string")
-        padded = F.when(F.length(tab) < 3, F.lpad(tab, 3, "0")).otherwise(tab)
-        return rows.select(
-            F.concat(F.lit("/in/FY24 Change Table "), "agency_name", F.lit(".xlsx")).alias(
-                "file_path"
-            ),
-            F.when(F.col("row_no") == 99, F.lit("Agency Summary")).otherwise(padded).alias("sheet"),
+        names = ("row_no", "change_label", "c12", "c13", "rec", "c16", "c17", "c18")
+
+        def cell(name: str, value) -> str:
+            text = "CAST(NULL AS STRING)" if value is None else sql_literal(value)
+            return f"{text} AS {name}"
+
+        structs = [
+            f"struct({', '.join(cell(n, v) for n, v in zip(names, row, strict=True))})"
+            for row in SHEET_ROWS
+        ]
+        rows = self.service.selectExpr("*", f"inline(array({', '.join(structs)}))")
+        return rows.selectExpr(
+            "concat('/in/FY24 Change Table ', agency_name, '.xlsx') AS file_path",
+            f"IF(row_no = 99, 'Agency Summary', {_tab()}) AS sheet",
             "row_no",
             "change_label",
-            F.when(F.col("c12") == "NUM", (sid * 1000 - F.col("row_no")).cast("string"))
-            .otherwise(F.col("c12"))
-            .alias("c12"),
+            "IF(c12 = 'NUM', CAST(service_id * 1000 - row_no AS STRING), c12) AS c12",
             "c13",
-            F.when(rec == "x", F.concat(F.lit("adj "), "service_name"))
-            .when((rec == "y") & (sid % 2 == 0), F.lit("idea"))
-            .when(rec == "y", F.lit(None))
-            .otherwise(rec)
-            .alias("recommendation"),
+            "CASE WHEN rec = 'x' THEN concat('adj ', service_name) "
+            "WHEN rec = 'y' THEN IF(service_id % 2 = 0, 'idea', NULL) ELSE rec END AS recommendation",
             "c16",
             "c17",
             "c18",
@@ -310,150 +287,144 @@ class Fixtures:
     def note_row(self) -> DataFrame:
         """Earlier sheets; objects whose budget grew have an analyst note."""
         keyed = self.budget_line.groupBy("agency_name", "service_id", "object_id").agg(
-            (F.sum("amount_end") > F.sum("amount_start")).alias("grew")
+            F.expr("sum(amount_end) > sum(amount_start) AS grew")
         )
-        tab, code = F.col("service_id").cast("string"), F.col("object_id").cast("string")
-        return keyed.select(
-            F.concat(F.lit("/notes/Change Table_"), "agency_name", F.lit(".xlsx")).alias("file_path"),
-            F.when(F.length(tab) < 3, F.lpad(tab, 3, "0")).otherwise(tab).alias("sheet"),
-            F.when(F.col("object_id") == 1, F.lit("1, 2")).otherwise(code).alias("object_id"),
-            F.when(F.col("grew"), F.concat(F.lit("note "), code)).alias("analyst_notes"),
+        return keyed.selectExpr(
+            "concat('/notes/Change Table_', agency_name, '.xlsx') AS file_path",
+            f"{_tab()} AS sheet",
+            "IF(object_id = 1, '1, 2', CAST(object_id AS STRING)) AS object_id",
+            "IF(grew, concat('note ', object_id), NULL) AS analyst_notes",
         )
 
     @cached_property
     def flat_adjustment(self) -> DataFrame:
         """Hand-made adjustments: one candidate per budget line."""
-        sub = F.col("subobject_id")
-        return self.budget_line.select(
+        return self.budget_line.selectExpr(
             "service_id",
             "object_id",
-            F.concat(F.lit("item "), sub).alias("note"),
-            F.when(sub.isin("101", "205", "401"), F.lit("Yes")).otherwise(F.lit("No")).alias("include"),
-            (F.col("amount_end") - F.col("amount_start")).alias("amount"),
+            "concat('item ', subobject_id) AS note",
+            "IF(subobject_id IN ('101', '205', '401'), 'Yes', 'No') AS include",
+            "amount_end - amount_start AS amount",
         )
 
     @cached_property
     def measure(self) -> DataFrame:
-        """Performance measures of services, one of them in no known pillar."""
-        return self.table("part").select(
-            F.col("p_name").alias("measure"),
-            (F.col("p_partkey") % 120).alias("service_id"),
-            F.concat(F.lit("Clean "), F.col("p_brand")).alias("agency_clean"),
-            F.col("p_type").alias("extra_pm_table"),
+        """Performance measures of services, some of them in no known pillar."""
+        return self.table("part").selectExpr(
+            "p_name AS measure",
+            "p_partkey % 120 AS service_id",
+            "concat('Clean ', p_brand) AS agency_clean",
+            "p_type AS extra_pm_table",
         )
 
     @cached_property
     def line_item_detail(self) -> DataFrame:
         """Line items with every level of the chart of accounts and five phases."""
-        sub = F.col("subobject_id").cast("int") % 2
-        start, end = F.col("amount_start"), F.col("amount_end")
-        return self.budget_line.select(
+        activity, sub = "object_id % 3", "CAST(subobject_id AS INT) % 2"
+        return self.budget_line.selectExpr(
             "agency_id",
             "agency_name",
-            F.col("service_id").alias("program_id"),
-            F.col("service_name").alias("program_name"),
-            (F.col("object_id") % 3).alias("activity_id"),
-            F.concat(F.lit("Activity "), (F.col("object_id") % 3).cast("string")).alias("activity_name"),
-            sub.alias("subactivity_id"),
-            F.concat(F.lit("Subactivity "), sub.cast("string")).alias("subactivity_name"),
+            "service_id AS program_id",
+            "service_name AS program_name",
+            f"{activity} AS activity_id",
+            f"concat('Activity ', {activity}) AS activity_name",
+            f"{sub} AS subactivity_id",
+            f"concat('Subactivity ', {sub}) AS subactivity_name",
             "fund_id",
             "fund_name",
-            (F.col("fund_id") * 10 + sub).alias("detailed_fund_id"),
-            F.concat("fund_name", F.lit(" detail")).alias("detailed_fund_name"),
+            f"fund_id * 10 + {sub} AS detailed_fund_id",
+            "concat(fund_name, ' detail') AS detailed_fund_name",
             "object_id",
             "object_name",
             "subobject_id",
-            F.concat(F.lit("Subobject "), "subobject_id").alias("subobject_name"),
-            F.length("objective_name").alias("objective_id"),
+            "concat('Subobject ', subobject_id) AS subobject_name",
+            "length(objective_name) AS objective_id",
             "objective_name",
-            start.alias("current_adopted"),
-            end.alias("cls_request"),
-            (end + 10).alias("proposal1"),
-            (end + 20).alias("tls_request"),
-            (end + 30).alias("finance_recommendation"),
-            (end - start).alias("change_vs_adopted"),
-            F.try_divide((end - start).cast("double"), start.cast("double")).alias(
-                "perc_change_vs_adopted"
-            ),
+            "amount_start AS current_adopted",
+            "amount_end AS cls_request",
+            "amount_end + 10 AS proposal1",
+            "amount_end + 20 AS tls_request",
+            "amount_end + 30 AS finance_recommendation",
+            "amount_end - amount_start AS change_vs_adopted",
+            "try_divide(CAST(amount_end - amount_start AS DOUBLE), CAST(amount_start AS DOUBLE)) "
+            "AS perc_change_vs_adopted",
             "justification",
         )
 
     @cached_property
     def cur_expend(self) -> DataFrame:
-        keys = [
-            "agency_id",
-            "agency_name",
-            F.col("service_id").alias("program_id"),
-            F.col("service_name").alias("program_name"),
-            (F.col("object_id") % 3).alias("activity_id"),
-            "fund_id",
-            "fund_name",
-            "object_id",
-            "object_name",
-            "subobject_id",
-        ]
-        sums = self.budget_line.groupBy(*keys).agg(
-            F.sum("amount_start").alias("curr_adopted"),
-            F.sum("amount_end").alias("tot_budget"),
-            F.sum(F.col("amount_start") - 10).alias("ytd_exp"),
+        sums = (
+            self.budget_line.withColumn("activity_id", F.expr("object_id % 3"))
+            .withColumnsRenamed({"service_id": "program_id", "service_name": "program_name"})
+            .groupBy(
+                "agency_id",
+                "agency_name",
+                "program_id",
+                "program_name",
+                "activity_id",
+                "fund_id",
+                "fund_name",
+                "object_id",
+                "object_name",
+                "subobject_id",
+            )
+            .agg(
+                F.sum("amount_start").alias("curr_adopted"),
+                F.sum("amount_end").alias("tot_budget"),
+                F.expr("sum(amount_start - 10) AS ytd_exp"),
+            )
         )
-        adopted, spent = F.col("curr_adopted"), F.col("ytd_exp")
-        return sums.withColumns(
-            {
-                "activity_name": F.concat(F.lit("Activity "), F.col("activity_id").cast("string")),
-                "subobject_name": F.concat(F.lit("Subobject "), F.col("subobject_id")),
-                "prior_adopted": adopted - 1,
-                "prior_actual": adopted - 2,
-                "prior_ytd_actual": adopted - 3,
-                "carry_fwd_a": F.col("tot_budget") - adopted,
-                "carry_fwd_b": F.lit(5),
-                "carry_fwd_total": F.col("tot_budget") - adopted + 5,
-                "app_adj": F.lit(7),
-                **{m: spent + i for i, m in enumerate(K.MONTHS, start=1)},
-                "tot_enc": spent - 4,
-                "cur_acc": spent - 6,
-                "total_spent": spent + 8,
-                "surp_def": F.col("tot_budget") - spent - 8,
-            }
+        return sums.selectExpr(
+            "*",
+            "concat('Activity ', activity_id) AS activity_name",
+            "concat('Subobject ', subobject_id) AS subobject_name",
+            "curr_adopted - 1 AS prior_adopted",
+            "curr_adopted - 2 AS prior_actual",
+            "curr_adopted - 3 AS prior_ytd_actual",
+            "tot_budget - curr_adopted AS carry_fwd_a",
+            "5 AS carry_fwd_b",
+            "tot_budget - curr_adopted + 5 AS carry_fwd_total",
+            "7 AS app_adj",
+            *[f"ytd_exp + {i} AS {m}" for i, m in enumerate(K.MONTHS, start=1)],
+            "ytd_exp - 4 AS tot_enc",
+            "ytd_exp - 6 AS cur_acc",
+            "ytd_exp + 8 AS total_spent",
+            "tot_budget - ytd_exp - 8 AS surp_def",
         )
 
     @cached_property
     def line_item_report(self) -> DataFrame:
         return (
-            self.cur_expend.filter(F.col("program_id") % 4 != 1)
+            self.cur_expend.filter("program_id % 4 <> 1")
             .groupBy("agency_id", "program_id", "activity_id", "fund_id", "subobject_id")
-            .agg(F.max(F.concat(F.lit("why "), F.col("object_name"))).alias("justification"))
+            .agg(F.expr("max(concat('why ', object_name)) AS justification"))
         )
 
     @cached_property
     def carry_fwd(self) -> DataFrame:
-        return self.cur_expend.filter(F.col("object_id") == 6).select(
+        return self.cur_expend.filter("object_id = 6").selectExpr(
             "agency_id",
             "program_id",
             "activity_id",
             "fund_id",
             "object_id",
             "subobject_id",
-            F.lit("carry").alias("text"),
+            "'carry' AS text",
         )
 
     @cached_property
     def line_item_summary(self) -> DataFrame:
         """Wide fund columns; a fund the data knows is NULL for programs without it."""
-        known = sorted({i for i, _ in LINE_FUNDS.values()})
-        amount = F.col("tot_budget")
+        known = {i for i, _ in LINE_FUNDS.values()}
+        columns = [
+            f"sum(IF(fund_id = {i}, tot_budget, NULL)) AS fund_{i}"
+            if i in known
+            else f"CAST(0 AS DECIMAL(18,2)) AS fund_{i}"
+            for i in K.SUMMARY_FUNDS
+        ]
         return self.cur_expend.groupBy(
             "agency_id", "agency_name", "program_id", "program_name"
-        ).agg(
-            *[
-                (
-                    F.sum(F.when(F.col("fund_id") == i, amount))
-                    if i in known
-                    else F.lit(0).cast("decimal(18,2)")
-                ).alias(f"fund_{i}")
-                for i in K.SUMMARY_FUNDS
-            ]
-        )
+        ).agg(*[F.expr(c) for c in columns])
 
     @cached_property
     def line_item_summary_long(self) -> DataFrame:
@@ -461,18 +432,17 @@ class Fixtures:
 
     @cached_property
     def all_opcs(self) -> DataFrame:
-        opcs = F.col("total_cost") - F.col("salary")
-        return self.pos_end.select(
+        return self.pos_end.selectExpr(
             "job_number",
             "class_id",
-            (F.col("class_id") % 3).alias("union_code"),
-            F.col("agency_id").alias("agency"),
-            F.col("service_id").alias("program"),
-            (F.col("service_id") % 3).alias("activity"),
-            F.col("fund_id").alias("fund"),
-            (F.col("fund_id") * 10).alias("detailed_fund"),
-            F.col("si_id").alias("special_indicator"),
-            F.lit(1).alias("adopted_position"),
+            "class_id % 3 AS union_code",
+            "agency_id AS agency",
+            "service_id AS program",
+            "service_id % 3 AS activity",
+            "fund_id AS fund",
+            "fund_id * 10 AS detailed_fund",
+            "si_id AS special_indicator",
+            "1 AS adopted_position",
             "total_cost",
-            *[(opcs + i).alias(f"opc_{code}") for i, code in enumerate(K.OPC_CODES)],
+            *[f"total_cost - salary + {i} AS opc_{c}" for i, c in enumerate(K.OPC_CODES)],
         )

@@ -571,7 +571,7 @@ def prim_null_safe_join(fx):
 @query
 def prim_ordinal_sort(fx):
     funds = fx.budget_line.groupBy("fund_name").agg(F.count(F.lit(1)).alias("lines"))
-    order = position_in(F.col("fund_name"), K.FUND_ORDER)
+    order = position_in("fund_name", K.FUND_ORDER)
     return funds.withColumn("fund_order", order).orderBy("fund_order", "fund_name")
 
 
