@@ -34,6 +34,7 @@ def _block(rows: DataFrame, title: str, nth_total: int) -> DataFrame:
         .filter(F.col("_nth") <= nth_total)
         .groupBy(*SHEET)
         .agg(F.min(F.when(F.col("_nth") == nth_total, F.col("row_no"))).alias("_last"))
+        .filter(F.col("_last").isNotNull())
     )
     bounds = titles.join(totals, SHEET)
     low = F.least("_first", "_last")

@@ -36,12 +36,13 @@ def write_by(
     """One folder per partition value with rows in order.
 
     Range partitioning by folder and order keeps the files of a folder consecutive and few, and
-    splits a folder that holds a large share of the rows over several tasks.
+    splits a folder that holds a large share of the rows over several tasks. The number of the
+    task that produced a row is the last key, so that rows with equal keys can be split as well.
     """
-    ranged = df.repartitionByRange(*partitions, *order)
-    ranged.sortWithinPartitions(*partitions, *order).write.mode("overwrite").partitionBy(
-        *partitions
-    ).format(fmt).save(path)
+    keys = [*partitions, *order, "_tie"]
+    ranged = df.withColumn("_tie", F.spark_partition_id()).repartitionByRange(*keys)
+    ordered = ranged.sortWithinPartitions(*keys).drop("_tie")
+    ordered.write.mode("overwrite").partitionBy(*partitions).format(fmt).save(path)
     return path
 
 
