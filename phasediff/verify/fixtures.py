@@ -126,8 +126,7 @@ class Fixtures:
 
     @cached_property
     def budget_line(self) -> DataFrame:
-        start, qty = "CAST(l_extendedprice AS DECIMAL(18,2))", "CAST(l_quantity AS DECIMAL(18,2))"
-        end = f"{start} + {qty} * CAST(l_orderkey % 3 - 1 AS DECIMAL(2,0))"
+        end = "CASE l_orderkey % 3 WHEN 0 THEN price - qty WHEN 1 THEN price ELSE price + qty END"
         object_id = "CAST(l_partkey % 10 AS INT)"
 
         def amount(value: str, missing: int) -> str:
@@ -137,14 +136,19 @@ class Fixtures:
         lines = self.table("lineitem").filter(
             "(l_suppkey + l_partkey % 10) % 9 <> 0 AND l_linenumber BETWEEN 1 AND 7"
         )
-        fact = lines.selectExpr(
+        priced = lines.selectExpr(
+            "*",
+            "CAST(l_extendedprice AS DECIMAL(18,2)) AS price",
+            "CAST(l_quantity AS DECIMAL(18,2)) AS qty",
+        )
+        fact = priced.selectExpr(
             "CAST(l_suppkey AS BIGINT) AS service_id",
             *_fund_columns("l_linenumber", LINE_FUNDS),
             f"{object_id} AS object_id",
             f"{case_sql(object_id, OBJECTS)} AS object_name",
             f"{case_sql('l_orderkey % 10', dict(enumerate(SUBOBJECTS)))} AS subobject_id",
             "IF(l_quantity > 45, 'policy', NULL) AS justification",
-            f"{amount(start, 17)} AS amount_start",
+            f"{amount('price', 17)} AS amount_start",
             f"{amount(end, 19)} AS amount_end",
         )
         return self.with_service(fact, self.service).select(
