@@ -206,7 +206,7 @@ def expenditure_summary(cye_summary: DataFrame) -> DataFrame:
     }
     totals = cye_summary.groupBy("agency_name").agg(
         *[F.sum(c).alias(heading) for c, heading in sums.items()],
-        F.sum(F.col("tot_budget") - F.col("ytd_exp")).alias("Net BBMR Sur/Def"),
+        F.sum(F.col("tot_budget") - F.col("ytd_exp")).alias("Net Sur/Def"),
     )
     return presentation_sort(totals, "agency_name").withColumnRenamed("agency_name", "Agency")
 

@@ -126,6 +126,14 @@ class Fixtures:
 
     @cached_property
     def budget_line(self) -> DataFrame:
+        return self._budget_lines()
+
+    @cached_property
+    def general_line(self) -> DataFrame:
+        """Lines of the general fund, chosen before the service names are attached."""
+        return self._budget_lines(f"fund_id = {K.GENERAL_FUND_ID}")
+
+    def _budget_lines(self, kept: str = "TRUE") -> DataFrame:
         end = "CASE l_orderkey % 3 WHEN 0 THEN price - qty WHEN 1 THEN price ELSE price + qty END"
         object_id = "CAST(l_partkey % 10 AS INT)"
 
@@ -151,7 +159,7 @@ class Fixtures:
             f"{amount('price', 17)} AS amount_start",
             f"{amount(end, 19)} AS amount_end",
         )
-        return self.with_service(fact, self.service).select(
+        return self.with_service(fact.filter(kept), self.service).select(
             "agency_id",
             "agency_name",
             "service_id",

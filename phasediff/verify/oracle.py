@@ -795,7 +795,7 @@ QUERIES: dict[str, str] = {
         FROM fx_line_detail GROUP BY agency_id, agency_name, fund_id, fund_name""",
     "expenditure_summary": f"""
         SELECT agency_name AS "Agency", {_sums(_EXP_SUMS)},
-               CAST(SUM(tot_budget - ytd_exp) AS DOUBLE) AS "Net BBMR Sur/Def"
+               CAST(SUM(tot_budget - ytd_exp) AS DOUBLE) AS "Net Sur/Def"
         FROM fx_cur_expend GROUP BY agency_name""",
     "multi_phase_gf": f"""
         SELECT {", ".join(c for c in _LINE_DIMS if not c.startswith("objective"))},

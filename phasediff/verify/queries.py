@@ -51,7 +51,7 @@ def registered() -> dict[str, Query]:
 
 
 def _gf(fx: Fixtures) -> DataFrame:
-    return lines.general_fund_lines(fx.budget_line)
+    return lines.general_fund_lines(fx.general_line)
 
 
 def _totals(fx: Fixtures) -> DataFrame:

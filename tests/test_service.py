@@ -143,4 +143,4 @@ def test_net_sum_leaves_out_rows_with_a_missing_side(spark):
     rows = [("Parks", *values.values()), ("Parks", *(values | {"ytd_exp": None}).values())]
     df = spark.createDataFrame(rows, "agency_name string, " + ", ".join(f"{n} int" for n in names))
     row = finance.expenditure_summary(df).first()
-    assert (row["Total Budget"], row["YTD Exp"], row["Net BBMR Sur/Def"]) == (20, 4, 6)
+    assert (row["Total Budget"], row["YTD Exp"], row["Net Sur/Def"]) == (20, 4, 6)
