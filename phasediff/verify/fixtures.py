@@ -394,9 +394,9 @@ class Fixtures:
             "curr_adopted - 2 AS prior_actual",
             "curr_adopted - 3 AS prior_ytd_actual",
             "tot_budget - curr_adopted AS carry_fwd_a",
-            "5 AS carry_fwd_b",
+            "CAST(5 AS DECIMAL(18,2)) AS carry_fwd_b",
             "tot_budget - curr_adopted + 5 AS carry_fwd_total",
-            "7 AS app_adj",
+            "CAST(7 AS DECIMAL(18,2)) AS app_adj",
             *[f"ytd_exp + {i} AS {m}" for i, m in enumerate(K.MONTHS, start=1)],
             "ytd_exp - 4 AS tot_enc",
             "ytd_exp - 6 AS cur_acc",

@@ -155,7 +155,7 @@ TERMS: dict[str, str] = {
                fund_id, fund_name, fund_id * 10 + CAST(subobject_id AS INT) % 2 AS detailed_fund_id,
                CONCAT(fund_name, ' detail') AS detailed_fund_name, object_id, object_name,
                subobject_id, CONCAT('Subobject ', subobject_id) AS subobject_name,
-               LENGTH(objective_name) AS objective_id, objective_name,
+               CAST(LENGTH(objective_name) AS INT) AS objective_id, objective_name,
                amount_start AS current_adopted, amount_end AS cls_request,
                amount_end + 10 AS proposal1, amount_end + 20 AS tls_request,
                amount_end + 30 AS finance_recommendation,

@@ -56,7 +56,8 @@ def test_pillar_book_drops_pending_and_keeps_text_rows_without_number(spark):
             ("Youth", "Parks", "012", 5, "Blank", None, None),
             (None, "Parks", "013", 1, "CLS Adjustments", "3", None),
         ],
-        "pillar string, agency string, service_id string, row_no int, change_label string, amount string, decision string",
+        "pillar string, agency string, service_id string, row_no int, change_label string, "
+        "amount string, decision string",
     )
     rows = {r.row_no: r.amount for r in harvest.pillar_book(df).collect()}
     assert rows == {1: None, 2: 1200.5}

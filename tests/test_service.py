@@ -5,9 +5,15 @@ from pyspark.sql import functions as F
 from phasediff.plans import finance, ladder, service
 from phasediff.plans.service import PHASES
 
-DIMS = "agency_name string, service_name string, service_id bigint, type string, fund_name string, objective_name string"
+DIMS = (
+    "agency_name string, service_name string, service_id bigint, type string, "
+    "fund_name string, objective_name string"
+)
 SUMMARY = DIMS + "".join(f", {p} decimal(28,2)" for p in PHASES)
-CLS = "service_id bigint, fund_id int, fund_name string, objective_name string, subobject_id string, cls_amount decimal(18,2)"
+CLS = (
+    "service_id bigint, fund_id int, fund_name string, objective_name string, "
+    "subobject_id string, cls_amount decimal(18,2)"
+)
 PROP = (
     "agency_name string, service_id bigint, service_name string, fund_id int, fund_name string, "
     "objective_name string, subobject_id string, prior_actual decimal(18,2), "
@@ -103,7 +109,8 @@ def test_ladder_has_27_ordered_rows(spark):
     )
     drivers = spark.createDataFrame(
         [("Parks", 1, "S1", "General", "Pension Adjustment", D(4))],
-        "agency_name string, service_id bigint, service_name string, fund_name string, bucket string, diff decimal(28,2)",
+        "agency_name string, service_id bigint, service_name string, fund_name string, "
+        "bucket string, diff decimal(28,2)",
     )
     rows = ladder.general_fund_ladder(df, drivers).orderBy("ladder_row").collect()
     assert [r.ladder_row for r in rows] == list(range(1, 28))
