@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phasediff.llm import byte_bpe, exact_dedup, mixing, quality_rules
+from phasediff.llm import byte_bpe, exact_dedup, mixing, ngram_join, quality_rules
+from phasediff.llm.store import shipped
 
 MIX = mixing.Mix(
     weights={
@@ -19,7 +20,7 @@ MIX = mixing.Mix(
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return shipped(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +37,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir)).drop("row")
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def bpe_digests(docs: DataFrame, ranks_path: str | None = None) -> DataFrame:
     """Digests of the ids of every row and of their decoded text."""
     ranks = byte_bpe.read_ranks(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"))

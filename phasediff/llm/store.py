@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,3 +31,20 @@ def dropped(df: DataFrame) -> None:
         if f"/{spark.sparkContext.applicationId}/" in folder:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """Sends this package's code to the executors, once for each application."""
+    context = spark.sparkContext
+    if not getattr(context, "_phasediff_shipped", False):
+        top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        path = os.path.join(tempfile.mkdtemp(), "phasediff.zip")
+        with zipfile.ZipFile(path, "w") as archive:
+            for folder, _, names in os.walk(top):
+                for name in names:
+                    if name.endswith(".py"):
+                        file = os.path.join(folder, name)
+                        archive.write(file, os.path.relpath(file, os.path.dirname(top)))
+        context.addPyFile(path)
+        context._phasediff_shipped = True
+    return spark
