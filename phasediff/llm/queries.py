@@ -6,7 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phasediff.llm import byte_bpe, exact_dedup, mixing, ngram_join, quality_rules
+from phasediff.llm import (
+    byte_bpe,
+    exact_dedup,
+    license_scan,
+    mixing,
+    ngram_join,
+    quality_classifier,
+    quality_rules,
+)
 from phasediff.llm.store import shipped
 
 MIX = mixing.Mix(
@@ -37,6 +45,15 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir)).drop("row")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_classifier.quality_scores(documents(spark, sf_dir), labels)
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(documents(spark, sf_dir)).drop("spans")
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
