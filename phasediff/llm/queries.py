@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from phasediff.llm import (
     byte_bpe,
     exact_dedup,
+    language_id,
     license_scan,
+    lm_score,
     mixing,
     ngram_join,
     quality_classifier,
@@ -37,6 +39,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(*base, "n_stop_words", "n_lines")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_scores(documents(spark, sf_dir))
+
+
 def op3_mixing_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sources(documents(spark, sf_dir), MIX).drop("row")
 
@@ -74,6 +80,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(documents(spark, sf_dir))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language(documents(spark, sf_dir))
+
+
 def registered() -> dict:
     own = {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
     return dict(sorted(own.items(), key=lambda x: int(x[0][2:].split("_")[0])))
