@@ -16,6 +16,7 @@ from phasediff.llm import (
     ngram_join,
     quality_classifier,
     quality_rules,
+    suffix_dedup,
 )
 from phasediff.llm.store import shipped
 
@@ -64,6 +65,11 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.suffix_dedup(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def bpe_digests(docs: DataFrame, ranks_path: str | None = None) -> DataFrame:
     """Digests of the ids of every row and of their decoded text."""
     ranks = byte_bpe.read_ranks(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"))
