@@ -17,8 +17,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STATES = 100_000
+#: Limits of what a worker remembers. Common pieces come early, so they are what is kept; beyond the limits
+#: the same steps are taken and not remembered. After RENEWED misses a worker starts afresh.
+STATES = 60_000
 CHUNKS = 300_000
+PAIRS = 300_000
+RENEWED = 5_000_000
 _BATCH_BYTES = 8 << 20
 
 
@@ -92,9 +96,9 @@ class Transducer:
             return second in self.halves or len(self.tokens[second]) == 1
         known = self.pairs.get((first, second))
         if known is None:
-            if len(self.pairs) > 1_000_000:
-                self.pairs = {}
-            known = self.pairs[first, second] = self.apart(first, second, 1 << 40)
+            known = self.apart(first, second, 1 << 40)
+            if len(self.pairs) < PAIRS:
+                self.pairs[first, second] = known
         return known
 
     def move(self, at: int, byte: int) -> tuple[int, bytes]:
@@ -122,16 +126,43 @@ class Transducer:
         done = self.moves[at << 8 | byte] = (self.number(tuple(new)), sent)
         return done
 
+    def finished(self, at: int, rest: bytes) -> bytes:
+        """What is still to be sent after the rest of a piece, without making states."""
+        ranks, heads, valid = self.ranks, self.heads, self.valid
+        live = self.states[at]
+        for byte in rest:
+            after, new, token = bytes((byte,)), [], None
+            for read, before, ids in live:
+                read += after
+                if token is None:
+                    token = ranks.get(read)
+                    if token is not None:
+                        if valid(before, token):
+                            whole = ids + token.to_bytes(4, "little")
+                        else:
+                            token = None
+                if read in heads:
+                    new.append((read, before, ids))
+            if token is None:
+                raise ValueError("a byte has no token of its own")
+            new.append((b"", token, whole))
+            live = new
+        return live[-1][2]
+
     def encode(self, piece: bytes) -> bytes:
         """Ids of one match of the pattern, as little-endian unsigned 32-bit integers."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return whole.to_bytes(4, "little")
-        if len(self.states) > STATES:
-            self.clear()
         at, out, moves = 0, [], self.moves
-        for byte in piece:
-            at, sent = moves.get(at << 8 | byte) or self.move(at, byte)
+        for k, byte in enumerate(piece):
+            step = moves.get(at << 8 | byte)
+            if step is None:
+                if len(self.states) >= STATES:
+                    out.append(self.finished(at, piece[k:]))
+                    return b"".join(out)
+                step = self.move(at, byte)
+            at, sent = step
             if sent:
                 out.append(sent)
         out.append(self.states[at][-1][2])
@@ -146,15 +177,21 @@ class Encoder:
         self.transducer = Transducer(lines)
         self.find = regex.compile(pattern).findall
         self.known: dict[str, bytes] = {}
+        self.missed = 0
 
     def matched(self, text: str) -> bytes:
         encode = self.transducer.encode
         return b"".join([encode(m.encode()) for m in self.find(text)])
 
     def chunk(self, chunk: str) -> bytes:
-        if len(self.known) > CHUNKS:
+        self.missed += 1
+        if self.missed > RENEWED:
             self.known.clear()
-        out = self.known[chunk] = self.matched(" " + chunk)
+            self.transducer.clear()
+            self.missed = 0
+        out = self.matched(" " + chunk)
+        if len(self.known) < CHUNKS:
+            self.known[chunk] = out
         return out
 
     def encode(self, text: str) -> bytes:
@@ -200,6 +237,7 @@ _ENCODERS: dict[tuple[int, str], Encoder] = {}
 
 
 def _encoder(lines: bytes, pattern: str) -> Encoder:
+    """The encoder of this worker; a task finds what earlier tasks remembered."""
     key = (hash(lines), pattern)
     if key not in _ENCODERS:
         _ENCODERS.clear()
