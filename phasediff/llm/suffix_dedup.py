@@ -31,10 +31,10 @@ LENGTH = 100
 GRAM = 40
 FILTER_BYTES = 64 << 20
 
-_PIECE = 1 << 20
+_PIECE = 1 << 19
 _INDEX = np.uint64(28)
-_HELD = 200_000
-_SORTED_BYTES = 4 << 20
+_HELD = 100_000
+_SORTED_BYTES = 1 << 20
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
@@ -156,7 +156,7 @@ def _repeated(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa
         keys, counts = np.unique(np.concatenate([k for k, _ in found]), return_counts=True)
         twice = np.unique(np.concatenate([k[t] for k, t in found]))
         keys = np.unique(np.concatenate([keys[counts > 1], twice]))
-        bits = _bounded(keys, most_bytes)
+        bits = bounded(keys, most_bytes)
         return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([bits.tobytes()], pa.binary())], ["part", "bits"])
 
     for batch in batches:
@@ -171,7 +171,7 @@ def _repeated(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa
         yield out()
 
 
-def _bounded(keys: np.ndarray, most_bytes: int) -> np.ndarray:
+def bounded(keys: np.ndarray, most_bytes: int) -> np.ndarray:
     """The filter of the keys; one that would be too large is replaced by one that lets everything through."""
     bits = built(keys, np.ones(len(keys), np.int64))
     return bits if len(bits) <= most_bytes else np.full(64, 255, np.uint8)
@@ -259,8 +259,8 @@ def first_places(texts: list[bytes], windows: list[int], order: list[tuple]) ->
     suffixes = suffixes[is_window[suffixes]]
     same = np.zeros(len(suffixes), bool)
     width = np.arange(LENGTH)
-    for at in range(1, len(suffixes), 50_000):
-        a, b = suffixes[at - 1 : at + 49_999], suffixes[at : at + 50_000]
+    for at in range(1, len(suffixes), 8_000):
+        a, b = suffixes[at - 1 : at + 7_999], suffixes[at : at + 8_000]
         a = a[: len(b)]
         same[at : at + len(b)] = (data[a[:, None] + width] == data[b[:, None] + width]).all(1)
     group = np.cumsum(~same)
