@@ -220,7 +220,7 @@ def _stretches(batches: Iterator[pa.RecordBatch], repeated: Filter) -> Iterator[
         for first, _, data, offsets in slices(batch.column(2)):
             whole = data.tobytes()
             for starts, counts, hashes in anchored(data, offsets):
-                some = np.flatnonzero(repeated.levels(hashes) > 0) if len(hashes) else np.zeros(0, int)
+                some = np.flatnonzero(repeated.levels(hashes, 1) > 0) if len(hashes) else np.zeros(0, int)
                 starts, counts, hashes = starts[some], counts[some], hashes[some]
                 at = np.searchsorted(offsets, starts, "right") - 1
                 # empty texts share an offset; the last of them is the one with bytes
