@@ -2,21 +2,15 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@functools.cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="phasediff-")
-
-
 def scratch_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a temporary folder only where it is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _local_dir()
+    """The session's ``spark.checkpoint.dir``; a folder in the warehouse where it is unset."""
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

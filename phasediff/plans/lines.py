@@ -223,3 +223,14 @@ def full_change_sheet(
     dense = change_rows_dense(object_service_grid(totals), rows)
     sheet = change_sheet(budget_bookends(totals, labels), dense, labels)
     return change_sheet_by_agency(sheet, totals)
+
+
+def services_with_amounts(totals: DataFrame) -> DataFrame:
+    """What `active_services` finds in the change sheet, from the totals alone: no notes, no positions."""
+    summary = object_summary(totals).withColumn("change_label", change_label(F.col("diff"), F.col("object_name")))
+    rows = summary.groupBy("service_id", "object_id", "change_label").agg(sum0("diff").alias("amount"))
+    budgets = budget_bookends(totals).select("service_id", "amount")
+    amounts = rows.select("service_id", "amount").unionByName(budgets)
+    active = amounts.filter("amount <> 0").select("service_id").distinct()
+    agencies = totals.select("agency_name", "service_id").distinct()
+    return agencies.join(active, "service_id", "left_semi").select("agency_name", "service_id")

@@ -37,14 +37,14 @@ def notes_gaps(notes: DataFrame, sheets: DataFrame, gf: DataFrame) -> DataFrame:
 
 
 def carry_forward_notes(sheet: DataFrame, notes: DataFrame) -> DataFrame:
-    """Put the earlier note on each row; rows without an object (the totals) have none.
+    """Put the earlier notes on each row; rows without an object (the totals) have none.
 
-    A key with several notes takes the last one in text order, so no row is repeated.
+    A row with several different notes is repeated, once for each; equal notes count once.
     """
     earlier = (
         notes.filter(F.col("object_id").isNotNull() & F.col("analyst_notes").isNotNull())
-        .groupBy(*NOTE_KEYS)
-        .agg(F.max("analyst_notes").alias("_earlier"))
+        .select(*NOTE_KEYS, F.col("analyst_notes").alias("_earlier"))
+        .distinct()
     )
     return sheet.join(earlier, NOTE_KEYS, "left").withColumn(
         "analyst_notes", F.coalesce("_earlier", "analyst_notes")

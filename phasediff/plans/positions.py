@@ -34,7 +34,8 @@ def position_clean(positions: DataFrame) -> DataFrame:
 
 
 def _side(positions: DataFrame, prefix: str) -> DataFrame:
-    clean = position_clean(positions)
+    """The jobs of a snapshot; hand-made total rows have neither job number nor agency."""
+    clean = position_clean(positions.filter("job_number IS NOT NULL OR agency_id IS NOT NULL"))
     return clean.selectExpr(*[f"{c} AS {prefix}{c}" for c in (JOB, *PLACE, *KIND, *COSTS)])
 
 

@@ -76,11 +76,12 @@ def read_many(
 def sheet_keys(rows: DataFrame, prefix: str = SHEET_PREFIX, extension: str = "xlsx") -> DataFrame:
     """Agency from the file name and service from the tab; files and tabs of other kinds drop out.
 
-    The service is the first run of three or more digits in the tab name.
+    The service is the first run of three or more digits in the tab name. The file name must begin with
+    the prefix, so lock files (~$...) are no sheets.
     """
     keyed = rows.withColumns(
         {
-            "agency": F.regexp_extract("file_path", rf"{prefix}(.+)\.{extension}$", 1),
+            "agency": F.regexp_extract("file_path", rf"(?:^|/)\Q{prefix}\E([^/]+)\.\Q{extension}\E$", 1),
             "service_id": F.regexp_extract("sheet", r"(\d{3,})", 1),
         }
     )

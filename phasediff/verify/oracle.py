@@ -497,10 +497,10 @@ TERMS |= {
         LEFT JOIN driver_sums d ON d.service_id = g.service_id AND d.bucket = l.content""",
     # ------------------------------------------------------------ completed sheets
     "keyed": """
-        SELECT *, REGEXP_EXTRACT(file_path, 'FY24 Change Table (.+)\\.xlsx$', 1) AS agency,
+        SELECT *, REGEXP_EXTRACT(file_path, '/FY24 Change Table (.+)\\.xlsx$', 1) AS agency,
                REGEXP_EXTRACT(sheet, '([0-9]{3,})', 1) AS service_id
         FROM fx_sheet_row WHERE REGEXP_MATCHES(sheet, '[0-9]{3}')
-          AND REGEXP_MATCHES(file_path, 'FY24 Change Table .+\\.xlsx$')""",
+          AND REGEXP_MATCHES(file_path, '/FY24 Change Table .+\\.xlsx$')""",
     "sheet_totals": """
         SELECT file_path, sheet, row_no,
                ROW_NUMBER() OVER (PARTITION BY file_path, sheet ORDER BY row_no) AS nth
@@ -540,7 +540,7 @@ TERMS |= {
         FROM fx_measure m JOIN pillars p ON m.service_id = p.service_id""",
     # ------------------------------------------------------------ notes
     "notes": """
-        SELECT REGEXP_EXTRACT(file_path, 'Change Table_(.+)\\.xlsx$', 1) AS agency_name,
+        SELECT REGEXP_EXTRACT(file_path, '/Change Table_(.+)\\.xlsx$', 1) AS agency_name,
                CAST(REGEXP_EXTRACT(sheet, '([0-9]{3,})', 1) AS BIGINT) AS service_id, object_id, analyst_notes
         FROM fx_note_row""",
 }
@@ -625,7 +625,7 @@ _EXP_AMOUNTS = {
     "prior_ytd_actual": "FY21 YTD Actual", "curr_adopted": "FY22 Adopted",
     "carry_fwd_a": "Carry Forward - A", "carry_fwd_b": "Carry Forward - B",
     "carry_fwd_total": "Carry Forward - Total", "app_adj": "Appropriations Adjustments",
-    "tot_budget": "Total Budget", **K.MONTHS, "ytd_exp": "BAPS YTD Exp",
+    "tot_budget": "Total Budget", **K.MONTHS, "ytd_exp": "YTD Exp",
     "tot_enc": "Total Encumbrance", "cur_acc": "Current Accrual",
 }
 _EXP_SUMS = {
@@ -812,8 +812,8 @@ QUERIES: dict[str, str] = {
         SELECT s.* REPLACE (CAST(s.amount AS DOUBLE) AS amount,
                COALESCE(n.note, s.analyst_notes) AS analyst_notes)
         FROM agency_sheet s
-        LEFT JOIN (SELECT agency_name, service_id, object_id, MAX(analyst_notes) AS note
-                   FROM notes WHERE object_id IS NOT NULL GROUP BY ALL) n
+        LEFT JOIN (SELECT DISTINCT agency_name, service_id, object_id, analyst_notes AS note
+                   FROM notes WHERE object_id IS NOT NULL AND analyst_notes IS NOT NULL) n
           ON s.agency_name = n.agency_name AND s.service_id = n.service_id AND s.object_id = n.object_id""",
     "flat_adjustments": """
         SELECT service_id, object_id, note, CAST(amount AS DOUBLE) AS amount,

@@ -134,7 +134,7 @@ def change_sheet_by_agency(fx):
 
 @query
 def active_services(fx):
-    return lines.active_services(_sheet(fx))
+    return lines.services_with_amounts(lines.service_object_totals(_gf(fx)))
 
 
 # ---------------------------------------------------------------- positions

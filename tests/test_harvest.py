@@ -77,18 +77,18 @@ def test_measures_without_pillar_drop_and_agency_comes_first(spark):
     assert [r.measure for r in df.collect()] == ["m1"]
 
 
-def test_earlier_note_wins_and_no_row_is_repeated(spark):
+def test_every_different_earlier_note_has_a_row(spark):
     sheet_rows = spark.createDataFrame(
         [("Parks", 1, "3", ""), ("Parks", 1, None, None), ("Parks", 2, "3", "own")],
         "agency_name string, service_id bigint, object_id string, analyst_notes string",
     )
     earlier = spark.createDataFrame(
-        [("Parks", 1, "3", "a"), ("Parks", 1, "3", "b"), ("Parks", 1, None, "x"), ("Parks", 2, "3", None)],
+        [("Parks", 1, "3", "a"), ("Parks", 1, "3", "b"), ("Parks", 1, "3", "b"), ("Parks", 1, None, "x"), ("Parks", 2, "3", None)],
         "agency_name string, service_id bigint, object_id string, analyst_notes string",
     )
     found = sorted(map(tuple, notes.carry_forward_notes(sheet_rows, earlier).collect()), key=str)
     assert found == sorted(
-        [("Parks", 1, "3", "b"), ("Parks", 1, None, None), ("Parks", 2, "3", "own")], key=str
+        [("Parks", 1, "3", "a"), ("Parks", 1, "3", "b"), ("Parks", 1, None, None), ("Parks", 2, "3", "own")], key=str
     )
 
 
