@@ -42,26 +42,34 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     n = len(s)
     if n < 4:
         return np.array(sorted(range(n), key=lambda k: s[k:].tolist()), np.int64)
-    t = np.concatenate([s.astype(np.int64), np.zeros(3, np.int64)])
-    ones, twos = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
-    sample = np.concatenate([ones, twos])
+    t = np.zeros(n + 3, np.int32)
+    t[:n] = s
+    sample = np.concatenate([np.arange(1, n + (n % 3 == 1), 3, dtype=np.int32), np.arange(2, n, 3, dtype=np.int32)])
     if t.max() < 1 << 21:
-        keys = t[sample] << 42 | t[sample + 1] << 21 | t[sample + 2]
-        order = np.argsort(keys, kind="stable")
-        new = keys[order][1:] != keys[order][:-1]
+        keys = t[sample].astype(np.int64) << 42
+        keys |= t[sample + 1].astype(np.int64) << 21
+        keys |= t[sample + 2]
+        order = np.argsort(keys, kind="stable").astype(np.int32)
+        keys = keys[order]
+        new = keys[1:] != keys[:-1]
+        del keys
     else:
-        order = np.lexsort((t[sample + 2], t[sample + 1], t[sample]))
+        order = np.lexsort((t[sample + 2], t[sample + 1], t[sample])).astype(np.int32)
         o = sample[order]
         new = (t[o[1:]] != t[o[:-1]]) | (t[o[1:] + 1] != t[o[:-1] + 1]) | (t[o[1:] + 2] != t[o[:-1] + 2])
-    names = np.empty(len(sample), np.int64)
-    names[order] = np.concatenate([[1], 1 + np.cumsum(new)])
     if not new.all():
+        names = np.empty(len(sample), np.int32)
+        names[order[:1]] = 1
+        names[order[1:]] = 1 + np.cumsum(new)
+        del order, new
         order = suffix_array(names)
-    rank = np.zeros(n + 3, np.int64)
+        del names
+    rank = np.zeros(n + 3, np.int32)
     rank[sample[order]] = np.arange(1, len(sample) + 1)
     sorted_sample = sample[order][sample[order] < n]
     width = np.int64(n + 4)
-    zeros = np.arange(0, n, 3)
+    del sample, order
+    zeros = np.arange(0, n, 3, dtype=np.int32)
     keys = t[zeros] * width + rank[zeros + 1]
     by = np.argsort(keys, kind="stable")
     zeros, keys = zeros[by], keys[by]
@@ -69,9 +77,12 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     first = sorted_sample[sorted_sample % 3 == 1]
     second = sorted_sample[sorted_sample % 3 == 2]
     before = np.searchsorted(t[first] * width + rank[first + 1], keys)
-    pairs, inverse = np.unique(np.concatenate([t[second] * (t.max() + 1) + t[second + 1], t[zeros] * (t.max() + 1) + t[zeros + 1]]), return_inverse=True)
+    letters = np.int64(t.max()) + 1
+    both = np.concatenate([second, zeros])
+    inverse = np.unique(t[both] * letters + t[both + 1], return_inverse=True)[1]
+    del both
     before += np.searchsorted(inverse[: len(second)] * width + rank[second + 2], inverse[len(second) :] * width + rank[zeros + 2])
-    out = np.empty(n, np.int64)
+    out = np.empty(n, np.int32)
     at = np.arange(len(zeros)) + before
     free = np.ones(n, bool)
     free[at] = False
@@ -250,12 +261,12 @@ def first_places(texts: list[bytes], windows: list[int], order: list[tuple]) ->
     """For each stretch whether each of its windows is the earliest of its kind; order: place of the stretch."""
     sizes = np.array([len(t) + 1 for t in texts])
     begin = np.cumsum(sizes) - sizes
-    data = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int64) + 1
+    data = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int32) + 1
     data[begin + sizes - 1] = 257
     suffixes = suffix_array(data)
-    stretch = np.repeat(np.arange(len(texts)), sizes)
-    inside = np.arange(len(data)) - begin[stretch]
-    is_window = inside < np.array(windows)[stretch]
+    stretch = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+    inside = (np.arange(len(data)) - begin[stretch]).astype(np.int32)
+    is_window = inside < np.array(windows, np.int32)[stretch]
     suffixes = suffixes[is_window[suffixes]]
     same = np.zeros(len(suffixes), bool)
     width = np.arange(LENGTH)
