@@ -57,7 +57,7 @@ def test_clashing_columns_are_replaced(spark):
     assert (row.n_words, row.extra, row.kept) == (20, "x", True)
 
 
-@pytest.mark.parametrize("size", [4, 4096])
+@pytest.mark.parametrize("size", [64, 4096])
 def test_exact_dedup_of_odd_rows(odd, size):
     rows = exact_dedup.exact_dedup(odd, size).collect()
     groups: dict[str, list] = {}
