@@ -1,15 +1,17 @@
 """Licence scan: matching statistics of texts against a generalised suffix automaton of licence templates.
 
 The automaton holds every run of consecutive words of every template. Reading a text word by word gives,
-for each place, the longest run of template words that ends there. Long matches of one template whose
-places increase in both text and template are chained; what a chain covers of its template is its score.
-Words outside the templates end every match, so only stretches of template words are read by the automaton.
+for each place, the longest run of template words that ends there, and with it the places of each template
+where a match ends. Long matches of one template whose places increase in both text and template are chained
+over the whole document, across at most most_gap other words; what a chain covers of its template is its score.
+A match consists of short runs that some template has, so only stretches of such runs are read by the automaton.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -108,6 +110,36 @@ class SuffixAutomaton:
             found.append((len(items) - 1, length, state))
         return found
 
+    def occurrences(self, items: list[int], least: int) -> Iterator[tuple[int, int, int, int]]:
+        """(last place, length, sequence, place of the last item in it) of every match of at least so many
+        items with a place of a sequence that can be lengthened on neither side."""
+        state, length = 0, 0
+        open_: dict[tuple[int, int], int] = {}
+        for place, item in enumerate(items):
+            while state and item not in self.next[state]:
+                state = self.link[state]
+                length = self.length[state]
+            if item in self.next[state]:
+                state, length = self.next[state][item], length + 1
+            now = {}
+            if length >= least:
+                top = state  # holds the last least items, and with them all their places
+                while self.length[self.link[top]] >= least:
+                    top = self.link[top]
+                for sequence, end in self.ends[top]:
+                    now[sequence, end] = open_.pop((sequence, end - 1), least - 1) + 1
+            for (sequence, end), matched in open_.items():
+                yield place - 1, matched, sequence, end
+            open_ = now
+        for (sequence, end), matched in open_.items():
+            yield len(items) - 1, matched, sequence, end
+
+
+@cache
+def _scanner(templates: tuple[tuple[str, tuple[str, ...]], ...], phrases: tuple[tuple[str, str], ...], scan: Scan) -> Scanner:
+    """Built once in each Python worker."""
+    return Scanner(dict(templates), dict(phrases), scan)
+
 
 class Scanner:
     def __init__(self, templates: Mapping[str, tuple[str, ...]], phrases: Mapping[str, str], scan: Scan):
@@ -122,7 +154,11 @@ class Scanner:
         number = {w: k + 1 for k, w in enumerate(words)}
         self.labels = [label for label, _ in texts]
         self.sizes = [len(t) for _, t in texts]
-        self.automaton = SuffixAutomaton([[number[w] for w in t] for _, t in texts])
+        sequences = [[number[w] for w in t] for _, t in texts]
+        self.automaton = SuffixAutomaton(sequences)
+        self.least = min(scan.least_match, *self.sizes)
+        self.run = min(self.least, 3)
+        self.runs = np.unique(np.concatenate([self.joined(np.array(t)) for t in sequences]))
         self.phrases = [([number[w] for w in p.split()], label) for p, label in phrases.items()]
 
     def numbers(self, words: np.ndarray) -> np.ndarray:
@@ -130,34 +166,64 @@ class Scanner:
         at = np.minimum(np.searchsorted(self.keys, words), len(self.keys) - 1)
         return np.where(self.keys[at] == words, self.ids[at], 0)
 
-    def chains(self, items: list[int], at: int) -> list[tuple[str, int, int, float]]:
-        """(label, first word, word after the last, share of the template) of chained matches in a stretch."""
-        ends: dict[int, list[tuple[int, int, int]]] = {}
-        for place, length, state in self.automaton.matches(items):
-            for sequence, end in self.automaton.ends[state]:
-                if length >= min(self.scan.least_match, self.sizes[sequence]):
-                    ends.setdefault(sequence, []).append((place - length + 1, end - length + 1, length))
-        out = []
-        for sequence, found in ends.items():
-            best: list[tuple[int, int]] = []  # covered words and first place of the best chain to each match
-            for k, (start, inside, length) in enumerate(found):
-                covered, first = length, start
-                for j in range(k - 1, -1, -1):
-                    before, inside_before, length_before = found[j]
-                    gap = start - before - length_before
-                    if gap > self.scan.most_gap + length:
-                        break
-                    if 0 <= gap <= self.scan.most_gap and inside >= inside_before + length_before and best[j][0] + length > covered:
-                        covered, first = best[j][0] + length, best[j][1]
-                best.append((covered, first))
-            covered, k = max((c, -k) for k, (c, _) in enumerate(best))
-            start, _, length = found[-k]
-            out.append((self.labels[sequence], at + best[-k][1], at + start + length, covered / self.sizes[sequence]))
+    def joined(self, ids: np.ndarray) -> np.ndarray:
+        """One number for each run of self.run words."""
+        n = max(0, len(ids) - self.run + 1)
+        out = np.zeros(n, np.int64)
+        for k in range(self.run):
+            out = out * (len(self.keys) + 1) + ids[k : n + k]
         return out
 
+    def stretches(self, ids: np.ndarray, firsts: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(row, first word, word after the last) of words in runs that some template has."""
+        n = max(0, len(ids) - self.run + 1)
+        whole = np.ones(n, bool)
+        for k in range(self.run):
+            whole &= ids[k : n + k] > 0
+        at = np.flatnonzero(whole)
+        joined = np.zeros(len(at), np.int64)
+        for k in range(self.run):
+            joined = joined * (len(self.keys) + 1) + ids[at + k]
+        place = np.minimum(np.searchsorted(self.runs, joined), len(self.runs) - 1)
+        at = at[self.runs[place] == joined]
+        row = np.searchsorted(firsts, at, "right") - 1
+        inside = at + self.run <= firsts[row + 1]
+        at, row = at[inside], row[inside]
+        new = np.flatnonzero(np.concatenate([[True], (at[1:] > at[:-1] + self.run) | (row[1:] != row[:-1])])) if len(at) else at
+        lasts = np.append(new[1:], len(at)) - 1 if len(at) else at
+        return zip(row[new].tolist(), at[new].tolist(), (at[lasts] + self.run).tolist())
+
+    def chains(self, sequence: int, found: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int, float]]:
+        """(label, first word, word after the last, share of the template) of the chains of one template's
+        matches (first word, place in the template, length); each match belongs to one chain, best chains first."""
+        found = sorted(found, key=lambda m: (m[0] + m[2], m[0], m[1]))
+        best: list[tuple[int, int, int]] = []  # covered words of the best chain to each match, what it adds, the match before
+        for k, (start, inside, length) in enumerate(found):
+            top = (length, length, -1)
+            for j in range(k - 1, -1, -1):
+                before, inside_before, length_before = found[j]
+                gap = start - before - length_before
+                if gap > self.scan.most_gap:
+                    break
+                # words that both matches have count once
+                both = max(0, -gap, inside_before + length_before - inside)
+                if before < start and inside_before < inside and both < length and gap + both <= self.scan.most_gap:
+                    if best[j][0] + length - both > top[0]:
+                        top = (best[j][0] + length - both, length - both, j)
+            best.append(top)
+        used = [False] * len(found)
+        for k in sorted(range(len(found)), key=lambda k: (-best[k][0], k)):
+            if used[k]:
+                continue
+            covered, j, first = 0, k, k
+            while j >= 0 and not used[j]:
+                used[j], first = True, j
+                covered += best[j][1] if best[j][2] >= 0 and not used[best[j][2]] else found[j][2]
+                j = best[j][2]
+            yield self.labels[sequence], found[first][0], found[k][0] + found[k][2], covered / self.sizes[sequence]
+
     def rows(self, texts: pa.Array) -> Iterator[tuple]:
         """n_words, n_base, first_word, last_word, base_labels, labels, score, spans of each text."""
-        least = min(self.scan.least_match, *self.sizes)
         for first, last, data, offsets in slices(texts):
             data = LOWER[data]
             starts, ends, firsts = bounds(data, offsets, ALPHANUMERIC)
@@ -171,21 +237,14 @@ class Scanner:
                 inside = here + len(phrase) <= firsts[row + 1]
                 for r, place in zip(row[inside].tolist(), (here - firsts[row])[inside].tolist()):
                     base.setdefault(r, []).append((place, label))
-            known = ids > 0
-            begin, stop = known.copy(), known.copy()
-            begin[1:] &= ~known[:-1]
-            stop[:-1] &= ~known[1:]
-            cuts = firsts[1:-1]
-            cuts = cuts[(cuts > 0) & (cuts < len(ids))]
-            begin[cuts], stop[cuts - 1] = known[cuts], known[cuts - 1]
-            begins, stops = np.flatnonzero(begin), np.flatnonzero(stop) + 1
-            long = stops - begins >= least
-            spans: dict[int, list[tuple[str, int, int, float]]] = {}
-            for b, s in zip(begins[long].tolist(), stops[long].tolist()):
-                row = int(np.searchsorted(firsts, b, "right")) - 1
-                found = self.chains(ids[b:s].tolist(), b - int(firsts[row]))
-                if found:
-                    spans.setdefault(row, []).extend(found)
+            matches: dict[int, dict[int, list[tuple[int, int, int]]]] = {}
+            for row, begin, stop in self.stretches(ids, firsts):
+                at = begin - int(firsts[row])
+                for place, length, sequence, end in self.automaton.occurrences(ids[begin:stop].tolist(), self.least):
+                    if length >= min(self.scan.least_match, self.sizes[sequence]):
+                        of_row = matches.setdefault(row, {})
+                        of_row.setdefault(sequence, []).append((at + place - length + 1, end - length + 1, length))
+            spans = {row: sorted((c for s, m in of_row.items() for c in self.chains(s, m)), key=lambda c: c[1]) for row, of_row in matches.items()}
             for k in range(last - first):
                 places = [p for p, _ in base.get(k, [])]
                 labels = {label for _, label in base.get(k, [])}
@@ -220,10 +279,12 @@ def license_scan(
 
     spans: label, first word, word after the last and covered share of each template that the text has
     whole or nearly so; score: the largest share of any template, 1 where a phrase stands. Null and empty
-    texts have no words, no labels and score 0. Every row is read by itself, one stretch after the other.
+    texts have no words, no labels and score 0. Every row is read by itself; its chains reach across stretches.
     """
+    given = tuple((label, tuple(texts)) for label, texts in templates.items()), tuple(phrases.items()), scan
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates, phrases, scan)
+        scanner = _scanner(*given)
         for batch in batches:
             rows = [(d, *r) for d, r in zip(batch.column(0).to_pylist(), scanner.rows(batch.column(1)))]
             columns = list(zip(*rows)) if rows else [()] * len(_SCHEMA)

@@ -146,6 +146,53 @@ def test_licences_of_odd_rows(odd):
     assert (rows[1].n_words, rows[1].n_base, rows[1].first_word, rows[1].labels, rows[1].score) == (0, 0, None, "", 0.0)
 
 
+def scanned(*texts):
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, license_scan.PHRASES, license_scan.Scan())
+    return [(r[5], r[6], r[7]) for r in scanner.rows(pa.array(texts))]
+
+
+MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    "documentation files (the Software), to deal in the Software without restriction"
+)
+
+
+def test_chains_reach_across_foreign_words():
+    words = MIT.split()
+    lines = "\n".join("REM " + " ".join(words[k : k + 6]) for k in range(0, len(words), 6))
+    far = " ".join(words[:14] + ["xyzzy"] * 5 + words[14:])
+    found = scanned("Licensed under the new Apache License, Version 2.0", " ".join(words[:14] + ["xyzzy"] + words[14:]), lines, far)
+    assert [labels for labels, *_ in found] == ["apache-2.0", "mit", "mit", ""]
+    assert [score for _, score, _ in found[:3]] == [1.0, 1.0, 1.0] and found[3][1] < 0.8
+    (span,) = found[0][2]
+    assert (span["first_word"], span["end_word"]) == (0, 9)
+
+
+def test_a_row_ends_every_chain():
+    assert [r[0] for r in scanned("Licensed under the", "Apache License, Version 2.0")] == ["", ""]
+    twice = "Released under the MIT License. " * 2
+    assert [(s["first_word"], s["end_word"]) for s in scanned(twice)[0][2]] == [(0, 5), (5, 10)]
+
+
+def test_automaton_finds_every_occurrence():
+    rng = random.Random(9)
+    sequences = [[rng.randrange(1, 4) for _ in range(rng.randrange(3, 12))] for _ in range(5)]
+    automaton = license_scan.SuffixAutomaton(sequences)
+    for _ in range(100):
+        items = [rng.randrange(1, 5) for _ in range(20)]
+        expected = set()
+        for s, t in enumerate(sequences):
+            for a in range(20):
+                for b in range(len(t)):
+                    n = 0
+                    while a + n < 20 and b + n < len(t) and items[a + n] == t[b + n]:
+                        n += 1
+                    if n >= 2 and (a == 0 or b == 0 or items[a - 1] != t[b - 1]):
+                        expected.add((a + n - 1, n, s, b + n - 1))
+        found = list(automaton.occurrences(items, 2))
+        assert len(found) == len(set(found)) and set(found) == expected
+
+
 def test_automaton_finds_longest_matches():
     rng = random.Random(8)
     sequences = [[rng.randrange(1, 4) for _ in range(rng.randrange(3, 12))] for _ in range(5)]
