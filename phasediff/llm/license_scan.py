@@ -4,6 +4,7 @@ The automaton holds every run of consecutive words of every template. Reading a
 for each place, the longest run of template words that ends there, and with it the places of each template
 where a match ends. Long matches of one template whose places increase in both text and template are chained
 over the whole document, across at most most_gap other words; what a chain covers of its template is its score.
+A stretch of text that several templates nearly have counts for the one that covers most of it.
 A match consists of short runs that some template has, so only stretches of such runs are read by the automaton.
 """
 
@@ -18,34 +19,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from phasediff.llm import licences
 from phasediff.llm.text import ALPHANUMERIC, LOWER, bounds, hashes, slices
 
 #: Phrases whose places are counted, with their labels (fixed values).
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: Notices of common licences by label.
-TEMPLATES = {
-    "apache-2.0": ("licensed under the apache license version 2 0",),
-    "bsd": (
-        "redistribution and use in source and binary forms with or without modification are permitted "
-        "provided that the following conditions are met",
-    ),
-    "cc-by-nc": ("licensed under cc by nc 4 0",),
-    "cc-by-4.0": ("licensed under cc by 4 0", "creative commons attribution 4 0 international license"),
-    "gpl-3.0": ("this work is licensed under the gnu general public license version 3",),
-    "mit": (
-        "released under the mit license",
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and "
-        "associated documentation files the software to deal in the software without restriction",
-    ),
-}
-
 
 @dataclass(frozen=True)
 class Scan:
     least_match: int = 3
     most_gap: int = 4
     least_cover: float = 0.8
+    #: Of templates up to so many words, every number has to be matched: it tells versions apart.
+    notice_words: int = 64
 
 
 class SuffixAutomaton:
@@ -154,6 +141,9 @@ class Scanner:
         number = {w: k + 1 for k, w in enumerate(words)}
         self.labels = [label for label, _ in texts]
         self.sizes = [len(t) for _, t in texts]
+        self.numbered = [
+            [k for k, w in enumerate(t) if any(c.isdigit() for c in w)] if len(t) <= scan.notice_words else [] for _, t in texts
+        ]
         sequences = [[number[w] for w in t] for _, t in texts]
         self.automaton = SuffixAutomaton(sequences)
         self.least = min(scan.least_match, *self.sizes)
@@ -193,9 +183,10 @@ class Scanner:
         lasts = np.append(new[1:], len(at)) - 1 if len(at) else at
         return zip(row[new].tolist(), at[new].tolist(), (at[lasts] + self.run).tolist())
 
-    def chains(self, sequence: int, found: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int, float]]:
-        """(label, first word, word after the last, share of the template) of the chains of one template's
-        matches (first word, place in the template, length); each match belongs to one chain, best chains first."""
+    def chains(self, sequence: int, found: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int, float, int]]:
+        """(label, first word, word after the last, share of the template, its covered words or 0 if a number is
+        missing) of the chains of one template's matches (first word, place in the template, length); each match
+        belongs to one chain, best chains first."""
         found = sorted(found, key=lambda m: (m[0] + m[2], m[0], m[1]))
         best: list[tuple[int, int, int]] = []  # covered words of the best chain to each match, what it adds, the match before
         for k, (start, inside, length) in enumerate(found):
@@ -216,11 +207,27 @@ class Scanner:
             if used[k]:
                 continue
             covered, j, first = 0, k, k
+            missing = set(self.numbered[sequence])
             while j >= 0 and not used[j]:
                 used[j], first = True, j
+                missing.difference_update(range(found[j][1], found[j][1] + found[j][2]))
                 covered += best[j][1] if best[j][2] >= 0 and not used[best[j][2]] else found[j][2]
                 j = best[j][2]
-            yield self.labels[sequence], found[first][0], found[k][0] + found[k][2], covered / self.sizes[sequence]
+            yield self.labels[sequence], found[first][0], found[k][0] + found[k][2], covered / self.sizes[sequence], 0 if missing else covered
+
+    def strong(self, chains: list[tuple[str, int, int, float, int]]) -> list[tuple[str, int, int, float, int]]:
+        """Chains that have their template nearly whole, without those that lie for more than half in a better one."""
+        whole = [c for c in chains if c[4] and c[3] >= self.scan.least_cover]
+        kept: list[tuple[str, int, int, float, int]] = []
+        taken: dict[int, list[int]] = {}  # kept chains by the blocks of 64 words that they touch
+        for c in sorted(whole, key=lambda c: (-c[4], -c[3], c[1], c[0])):
+            blocks = range(c[1] // 64, (c[2] - 1) // 64 + 1)
+            near = {k for b in blocks for k in taken.get(b, ())}
+            if all(2 * (min(c[2], kept[k][2]) - max(c[1], kept[k][1])) <= c[2] - c[1] for k in near):
+                for b in blocks:
+                    taken.setdefault(b, []).append(len(kept))
+                kept.append(c)
+        return sorted(kept, key=lambda c: c[1])
 
     def rows(self, texts: pa.Array) -> Iterator[tuple]:
         """n_words, n_base, first_word, last_word, base_labels, labels, score, spans of each text."""
@@ -249,7 +256,7 @@ class Scanner:
                 places = [p for p, _ in base.get(k, [])]
                 labels = {label for _, label in base.get(k, [])}
                 own = spans.get(k, [])
-                strong = [s for s in own if s[3] >= self.scan.least_cover]
+                strong = self.strong(own)
                 yield (
                     int(firsts[k + 1] - firsts[k]),
                     len(places),
@@ -271,16 +278,17 @@ _SCHEMA = pa.schema(
 
 def license_scan(
     docs: DataFrame,
-    templates: Mapping[str, tuple[str, ...]] = TEMPLATES,
+    templates: Mapping[str, tuple[str, ...]] | None = None,
     phrases: Mapping[str, str] = PHRASES,
     scan: Scan = Scan(),
 ) -> DataFrame:
-    """For each row of docs: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans.
+    """For each row of docs, templates being those of licences unless given: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans.
 
     spans: label, first word, word after the last and covered share of each template that the text has
     whole or nearly so; score: the largest share of any template, 1 where a phrase stands. Null and empty
     texts have no words, no labels and score 0. Every row is read by itself; its chains reach across stretches.
     """
+    templates = licences.templates() if templates is None else templates
     given = tuple((label, tuple(texts)) for label, texts in templates.items()), tuple(phrases.items()), scan
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import pathlib
 import random
 import zlib
 from collections import Counter
@@ -13,7 +14,7 @@ import pyarrow as pa
 import pytest
 import tiktoken
 
-from phasediff.llm import byte_bpe, language_id, license_scan, lm_score, ngram_join, quality_classifier, suffix_dedup
+from phasediff.llm import byte_bpe, language_id, licences, license_scan, lm_score, ngram_join, quality_classifier, suffix_dedup
 from phasediff.llm.queries import bpe_digests, registered
 from phasediff.llm.store import shipped
 from tests.conftest import DATA
@@ -147,7 +148,7 @@ def test_licences_of_odd_rows(odd):
 
 
 def scanned(*texts):
-    scanner = license_scan.Scanner(license_scan.TEMPLATES, license_scan.PHRASES, license_scan.Scan())
+    scanner = license_scan.Scanner(licences.templates(), license_scan.PHRASES, license_scan.Scan())
     return [(r[5], r[6], r[7]) for r in scanner.rows(pa.array(texts))]
 
 
@@ -174,6 +175,50 @@ def test_a_row_ends_every_chain():
     assert [(s["first_word"], s["end_word"]) for s in scanned(twice)[0][2]] == [(0, 5), (5, 10)]
 
 
+GPL_NOTICE = (
+    "This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published "
+    "by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
+)
+
+
+def own_labels(*texts):
+    return [",".join(sorted({s["label"] for s in spans})) for _, _, spans in scanned(*texts)]
+
+
+def test_usual_notices_have_labels_with_versions():
+    notices = {
+        GPL_NOTICE.format(what="program", name="General Public License", version="3"): "gpl-3.0",
+        GPL_NOTICE.format(what="program", name="General Public License", version="2"): "gpl-2.0",
+        GPL_NOTICE.format(what="program", name="General Public License", version="4"): "",
+        GPL_NOTICE.format(what="library", name="Lesser General Public License", version="2.1"): "lgpl-2.1",
+        GPL_NOTICE.format(what="program", name="Affero General Public License", version="3"): "agpl-3.0",
+        "Licensed under the GNU General Public License version 3": "gpl-3.0",
+        "Licensed under the GNU General Public License, version 2.0": "gpl-2.0",
+        "Licensed under the GNU General Public License": "",
+        "under the terms of the GPLv3": "gpl-3.0",
+        "Distributed under the MIT License.": "mit",
+        "Available under the ISC License.": "isc",
+        "Licensed under CC BY-SA 4.0": "cc-by-sa-4.0",
+        "a Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc",
+        "a Creative Commons Attribution-ShareAlike 3.0 Unported License": "cc-by-sa-3.0",
+        "SPDX-License-Identifier: LGPL-2.1-or-later": "lgpl-2.1",
+        "SPDX-License-Identifier: MIT": "mit",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.": "mpl-2.0",
+        "Under the MIT License. Other parts: licensed under the Apache License, Version 2.0": "apache-2.0,mit",
+        "we sat under the old tree of the public park": "",
+    }
+    assert dict(zip(notices, own_labels(*notices))) == notices
+
+
+def test_full_texts_have_their_own_labels():
+    texts = {f.stem: f.read_text() for f in pathlib.Path(licences.__file__).parent.glob("*.txt")}
+    assert len(texts) >= 18 and {"gpl-2.0", "gpl-3.0", "lgpl-2.1", "agpl-3.0", "apache-2.0", "mpl-2.0", "isc", "cc0-1.0"} <= set(texts)
+    edited = {k: " ".join("# " + w if n % 9 else "dnl " + w for n, w in enumerate(t.split())) for k, t in texts.items()}
+    assert dict(zip(texts, own_labels(*texts.values()))) == {k: k for k in texts}
+    assert dict(zip(edited, own_labels(*edited.values()))) == {k: k for k in edited}
+
+
 def test_automaton_finds_every_occurrence():
     rng = random.Random(9)
     sequences = [[rng.randrange(1, 4) for _ in range(rng.randrange(3, 12))] for _ in range(5)]
