@@ -283,6 +283,69 @@ def test_filter_never_underestimates():
     assert (table.levels(lm_score.mixed(np.arange(9000, 14000, dtype=np.uint64))) == 0).mean() > 0.85
 
 
+def test_filter_has_few_false_hits():
+    keys = lm_score.mixed(np.arange(40_000, dtype=np.uint64))
+    parts = lm_score.parts_of(keys, 2)
+    ones = np.ones(len(keys), int)
+    table = lm_score.Filter([(int(p), lm_score.built(keys[parts == p], ones[parts == p]).tobytes()) for p in np.unique(parts)], 2)
+    assert (table.levels(lm_score.mixed(np.arange(90_000, 190_000, dtype=np.uint64))) > 0).mean() < 0.005
+
+
+def test_false_hits_are_bounded_by_the_counts_of_words():
+    """A filter that has every n-gram at a high level."""
+
+    class Full:
+        bits = 2
+
+        def levels(self, keys):
+            return np.full(len(keys), 9)
+
+    (texts,) = [pa.array(["seen new seen", "new new"])]
+    words = np.concatenate([w for _, _, w, _ in lm_score.tokens(pa.array(["seen"]))])
+    order = np.argsort(words)
+    counts = np.array([5, 2])[order]
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 1]), texts], ["row", "text"])
+    (out,) = lm_score._scored([batch], Full(), range(4), words[order], counts, 7, 2)
+    start = 1.5 * 2**8 - 0.5
+
+    def one(c1, c, most):
+        share = 0.8 * c1 / (c1 + 4)
+        return math.log10(share * min(most, c1, c) / max(c1, 1) + (1 - share) * (c + 1) / 10)
+
+    first = one(start, 5, 999) + math.log10(1 - 0.8 * 5 / 9) + one(0, 5, 999) + one(5, 2, 999)
+    second = math.log10(1 - 0.8 * start / (start + 4)) + one(0, 2, 999)
+    assert out.column("score").to_pylist() == pytest.approx([first, second])
+    assert not any(any(c2) for c2 in out.column("c2").to_pylist())
+
+
+@pytest.mark.parametrize("frequent", [1_000_000, 2])
+def test_language_model_by_hand(spark, monkeypatch, frequent):
+    monkeypatch.setattr(lm_score, "FREQUENT", frequent)
+    rows = [(k, text) for k, text in enumerate(["a b a b c", "a b a a d", "x a c b", "b a unknown a", "c c d x", "a a a b", ""] * 3)]
+    texts = {d: [*t.split(), "END"] for d, t in rows}
+    train = [t for d, t in texts.items() if zlib.crc32(str(d).encode()) % 7 != 2]
+    single = Counter(w for t in train for w in t)
+    pairs = Counter(p for t in train for p in zip(["START", *t], t))
+    total, kinds = sum(single.values()), len(single)
+    limit = next(2**k for k in range(48) if sum(c >= 2**k for c in single.values()) <= frequent)
+
+    def level(c):
+        return 1.0 if c == 1 else 1.5 * 2 ** (c.bit_length() - 1) - 0.5 if c else 0.0
+
+    def score(h, w):
+        c1 = level(len(train) if h == "START" else single[h])
+        if h != "START" and single[h] >= limit:
+            c1 = min(c1, single[h])
+        c2 = min(level(pairs[h, w]), c1, single[w])
+        share = 0.8 * c1 / (c1 + 4)
+        return math.log10(share * c2 / max(c1, 1) + (1 - share) * (single[w] + 1) / (total + kinds + 1))
+
+    found = lm_score.lm_scores(shipped(spark).createDataFrame(rows, "doc_id long, text string")).collect()
+    for r in found:
+        t = texts[r.doc_id]
+        assert r.score == pytest.approx(sum(score(h, w) for h, w in zip(["START", *t], t)))
+
+
 def test_quality_on_held_out_rows(spark, docs):
     labels = spark.read.parquet(f"{DATA}/labels.parquet")
     rows = {r.doc_id: r for r in registered()["op5_quality_classifier"](spark, DATA).collect()}
