@@ -12,10 +12,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from phasediff.llm.quality_classifier import held_out
+from phasediff.llm.store import written
 from phasediff.llm.text import slices
 
 UNKNOWN = "und"
@@ -24,7 +25,8 @@ PAD = 256
 
 @dataclass(frozen=True)
 class Training:
-    """train_rows bounds the labelled rows read for training (those of the smallest hashes)."""
+    """train_rows bounds the labelled rows read for training: those of the smallest hashes of each language, the
+    languages in turn. With more languages than that, each has one row."""
 
     train_rows: int = 3_000
     hidden: int = 8
@@ -159,19 +161,26 @@ def pooled(network: Network, texts: pa.Array, stretch: int) -> np.ndarray:
 def language(docs: DataFrame, how: Training = Training()) -> DataFrame:
     """For each row of docs: doc_id, held_out, lang_pred, score (its mean probability over all bytes).
 
-    The network learns from text and lang of at most train_rows rows that are not held out and have both.
+    The network learns from text and lang of at most train_rows rows that are not held out and have both; every
+    language among these has a row.
     lang_pred is und with score 0 where the text is null or has no letter, and everywhere if no language
     can be learned. Every whole text is read; repeated rows get equal answers.
     """
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.col("text").rlike(r"\p{L}").alias("readable"), "lang")
     known = rows.filter(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("readable"))
-    chosen = known.select("doc_id", "lang").orderBy(F.xxhash64("doc_id"), "doc_id", "lang").limit(how.train_rows)
+    # the smallest hashes of each language, then of all languages in turn: every language has its first row
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    ranked = known.select("doc_id", "lang", F.row_number().over(order).alias("place")).filter(F.col("place") <= how.train_rows)
+    ranked = written(ranked, "sample")
+    most = max(how.train_rows, ranked.filter("place = 1").count())
+    chosen = ranked.orderBy("place", F.xxhash64("doc_id"), "doc_id", "lang").limit(most).select("doc_id", "lang").distinct()
     # a training row needs a few stretches: of longer texts, pieces from all over
     piece = F.expr(
         "array_join(transform(sequence(0, 7), i -> substr(text, cast(1 + i * greatest(length(text) - 256, 0) / 7 as int), 256)), '')"
     )
     taken = known.join(chosen, ["doc_id", "lang"]).select("doc_id", "lang", F.when(F.length("text") <= 2048, F.col("text")).otherwise(piece).alias("text"))
-    sample = sorted(taken.limit(2 * how.train_rows).collect())
+    # of repeated keys one text, so that none of them takes the place of a language
+    sample = sorted(taken.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect())
     network = trained([r.text for r in sample], [r.lang for r in sample], how) if sample else None
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

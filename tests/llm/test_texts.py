@@ -13,6 +13,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from phasediff.llm import byte_bpe, language_id, licences, license_scan, lm_score, ngram_join, quality_classifier, suffix_dedup
 from phasediff.llm.queries import bpe_digests, registered
@@ -391,6 +392,23 @@ def test_language_on_held_out_rows(spark, docs):
     assert sum(p == q for p, q in held) >= 0.9 * len(held)
 
 
+def test_rare_languages_have_a_training_row(spark, monkeypatch):
+    seen = []
+
+    def keep(texts, labels, how):
+        seen.append(Counter(labels))
+        return language_id.Network(sorted(set(labels)), how.hidden, how.seed)
+
+    monkeypatch.setattr(language_id, "trained", keep)
+    rows = [(k, f"text {k}", "en") for k in range(600)] + [(1000 + k, f"teksti {k}", "fi") for k in range(4)]
+    rows += [(2000, "repeated", "sv")] * 100 + [(3000 + k, "x", f"l{k}") for k in range(8)]
+    docs = shipped(spark).createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = {r.lang for r in docs.filter(~language_id.held_out(F.col("doc_id"))).select("lang").distinct().collect()}
+    for most in (40, 3):
+        language_id.language(docs, language_id.Training(train_rows=most, steps=0))
+        assert set(seen[-1]) == learned and sum(seen[-1].values()) <= max(most, len(learned))
+
+
 def test_scores_of_odd_and_empty_tables(spark, odd, none):
     how = language_id.Training(steps=3)
     found = [(r.lang_pred, r.score) for r in language_id.language(odd, how).collect()]
