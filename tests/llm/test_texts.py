@@ -284,6 +284,13 @@ def test_filter_never_underestimates():
     assert (table.levels(lm_score.mixed(np.arange(9000, 14000, dtype=np.uint64))) == 0).mean() > 0.85
 
 
+def test_steps_of_the_driver_hold_every_context_once(monkeypatch):
+    monkeypatch.setattr(lm_score, "STEP_BYTES", 10)
+    found = list(lm_score._steps(range(2, 9), {2: 4, 3: 7, 5: 30, 8: 1}))
+    assert found == [range(2, 4), range(4, 6), range(6, 9)]
+    assert list(lm_score._steps(range(0, 2), {1: 10})) == [range(0, 2)]
+
+
 def test_filter_has_few_false_hits():
     keys = lm_score.mixed(np.arange(40_000, dtype=np.uint64))
     parts = lm_score.parts_of(keys, 2)
