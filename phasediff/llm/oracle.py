@@ -38,6 +38,28 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
 FROM n
 """
 
+_WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+OP13 = rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+b AS (SELECT item_id::VARCHAR AS item_id, {_WORDS} AS words FROM benchmark),
+known AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS size, unnest(CASE WHEN len(words) < 10 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 8), lambda i: array_to_string(list_slice(words, i, i + 9), ' ')) END) AS win
+  FROM b WHERE len(words) > 0),
+places AS (SELECT doc_id, words, size, unnest(range(0, len(words) - size + 1)) AS p
+  FROM d, (SELECT DISTINCT size FROM known) WHERE len(words) >= size),
+windows AS (SELECT doc_id, p, size, array_to_string(list_slice(words, p + 1, p + size), ' ') AS win FROM places),
+hits AS (SELECT doc_id, p, windows.size, item_id FROM windows JOIN known USING (win)),
+covered AS (SELECT doc_id, count(DISTINCT w) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + size)) AS w FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 
 def _weights(level: str, names: dict[str, int]) -> str:
     return "CASE " + " ".join(f"WHEN {level} = '{n}' THEN {w}" for n, w in names.items()) + " ELSE 1 END"
@@ -90,7 +112,7 @@ SELECT doc_id, domain, lang, source, n_tokens, epochs, part_tokens, epochs * n_t
 def _all() -> dict[str, str]:
     from phasediff.llm.queries import MIX
 
-    return {"op1_quality_rules": OP1, "op3_mixing_to_weights": op3(MIX), "op4_exact_dedup": OP4}
+    return {"op1_quality_rules": OP1, "op3_mixing_to_weights": op3(MIX), "op4_exact_dedup": OP4, "op13_benchmark_decontamination": OP13}
 
 
 ORACLES = _all()

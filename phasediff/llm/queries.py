@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from phasediff.llm import (
     byte_bpe,
+    decontaminate,
     exact_dedup,
     language_id,
     license_scan,
@@ -90,6 +91,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language(documents(spark, sf_dir))
 
 
+def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    judged = decontaminate.contamination(documents(spark, sf_dir), benchmark)
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def registered() -> dict:
     own = {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
     return dict(sorted(own.items(), key=lambda x: int(x[0][2:].split("_")[0])))
