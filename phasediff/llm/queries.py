@@ -15,9 +15,11 @@ from phasediff.llm import (
     lm_score,
     mixing,
     ngram_join,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     suffix_dedup,
+    token_alignment,
 )
 from phasediff.llm.store import shipped
 
@@ -91,6 +93,48 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language(documents(spark, sf_dir))
 
 
+def with_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text; the words of every tenth document (by the hash of its id) repeat from some place on."""
+    words = F.array_remove(F.split("text", quality_rules.SPACE + "+"), "")
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+    def repeated(w):
+        n, g = F.size(w).cast("long"), F.floor(hashed / 10)
+        a = g % F.nullif(n, F.lit(0))
+        period = F.floor((n - a) / (3 + g % 8)) + 1
+        place = F.sequence(F.lit(0).cast("long"), n - 1)
+        own = F.transform(place, lambda i: F.get(w, F.when(i < a, i).otherwise(a + (i - a) % period).cast("int")))
+        return F.when(n > 0, F.array_join(own, " "))
+
+    changed = F.coalesce(quality_rules.bound(words, repeated), F.col("text"))
+    return docs.select("doc_id", F.when(hashed % 10 == 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_periods(documents(spark, sf_dir)))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise(F.lit(""))
+    with_best = found.withColumn("_best", best)
+    return with_best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("_best.start")).alias("start"),
+        F.col("_best.length").alias("length"),
+        (-F.col("_best.period")).alias("period"),
+        F.expr("1000 * _best.length div -_best.period").alias("exponent_milli"),
+        F.sha2(text.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    found = token_alignment.aligned_documents(documents(spark, sf_dir), a, b)
+    digest = F.when(F.col("n_groups") == 0, F.lit("")).otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return found.withColumn("groups_sha256", digest).drop("groups")
+
+
 def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     judged = decontaminate.contamination(documents(spark, sf_dir), benchmark)
