@@ -33,6 +33,21 @@ MIX = mixing.Mix(
 )
 
 
+#: Queries without SQL, and the tests that hold them against a plain version, a round trip or held-out labels.
+CHECKED_BY_TESTS = {
+    "op2_lm_scoring": "tests/llm/test_texts.py",
+    "op5_quality_classifier": "tests/llm/test_texts.py",
+    "op6_license_scan": "tests/llm/test_texts.py",
+    "op7_ngram_join": "tests/llm/test_texts.py",
+    "op8_suffix_dedup": "tests/llm/test_texts.py",
+    "op9_byte_bpe": "tests/llm/test_texts.py",
+    "op10_language_id": "tests/llm/test_texts.py",
+    "op11_periodic_runs": "tests/llm/test_periodic_runs.py",
+    "op12_cross_tokenizer_alignment": "tests/llm/test_token_alignment.py",
+    "pipeline": "tests/llm/test_filters.py",
+}
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shipped(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
