@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from phasediff import constants as K
 from phasediff.functions.columns import lookup, percent_text, share, sum0
+from phasediff.operators.joins import lookup_join
+from phasediff.operators.ordinals import numbered_within
 
 SERVICE = ["agency_id", "agency_name", "service_id", "service_name"]
 AMOUNTS = ["amount_start", "amount_end"]
@@ -95,16 +97,14 @@ def significant_changes(detail: DataFrame) -> DataFrame:
 
 
 def budget_bookends(gf: DataFrame, labels: PhaseLabels = PhaseLabels()) -> DataFrame:
-    """Total budget of each service before and after, one row per phase."""
-    narrow = gf.select(
-        *SERVICE,
-        F.col("amount_start").alias(labels.start_budget),
-        F.col("amount_end").alias(labels.end_budget),
-    )
-    long = narrow.unpivot(
-        SERVICE, [labels.start_budget, labels.end_budget], "change_label", "amount"
+    """Total budget of each service before and after, one row per phase.
+
+    The lines are summed first; only the sums of the services are unpivoted.
+    """
+    sums = gf.groupBy(*SERVICE).agg(
+        sum0("amount_start").alias(labels.start_budget), sum0("amount_end").alias(labels.end_budget)
     )
-    return long.groupBy(*SERVICE, "change_label").agg(sum0("amount").alias("amount"))
+    return sums.unpivot(SERVICE, [labels.start_budget, labels.end_budget], "change_label", "amount")
 
 
 def object_service_grid(gf: DataFrame) -> DataFrame:
@@ -120,32 +120,71 @@ def object_service_grid(gf: DataFrame) -> DataFrame:
     return services.select("service_id", F.explode(objects.scalar()).alias("object_id"))
 
 
-def change_rows(summary: DataFrame, note: DataFrame) -> DataFrame:
-    """One labelled row per service and object; employee costs carry the position note.
+NOTE_KEYS = ["service_id", "object_id"]
+
+
+def note_totals(note: DataFrame) -> DataFrame:
+    """Lines and cost of the position note of each service and object."""
+    return note.groupBy(*NOTE_KEYS).agg(
+        F.max("note_no").alias("note_lines"), sum0("total_cost_diff").alias("note_cost")
+    )
+
+
+def object_rows(summary: DataFrame, note: DataFrame) -> DataFrame:
+    """One labelled row per service and object; `note_cost` is what its position note adds up to."""
+    labelled = summary.select(
+        *NOTE_KEYS, change_label(F.col("diff"), F.col("object_name")).alias("change_label"), "diff"
+    )
+    rows = labelled.groupBy(*NOTE_KEYS, "change_label").agg(sum0("diff").alias("difference"))
+    totals = note_totals(note).drop("note_lines")
+    return rows.join(totals, NOTE_KEYS, "left").select(
+        *NOTE_KEYS,
+        F.lit(0).cast("bigint").alias("note_no"),
+        "change_label",
+        F.lit("").alias("position_note"),
+        "difference",
+        "note_cost",
+        F.lit("").alias("analyst_notes"),
+    )
+
+
+def note_lines(summary: DataFrame, note: DataFrame, adjustments: DataFrame | None = None) -> DataFrame:
+    """Lines of the notes of those services and objects that have a row, numbered from 1 on.
 
-    A note is normally one part. When it is longer than a part may be, each further part gets a
-    row of its own with amount 0, and the cost closes the last part.
+    The last line of a position note tells its cost. The sentences of flat adjustments come after it
+    and go on counting, ordered by their note.
     """
-    joined = summary.join(note, ["service_id", "object_id"], "left")
-    has_note = (F.col("object_id") == K.EMPLOYEE_OBJECT_ID) & (F.col("position_note") != "")
-    cost = F.concat(F.lit(" at a cost of "), F.col("total_cost_diff").cast("string"))
-    closing = F.when(F.col("part_no") == F.col("parts") - 1, cost).otherwise(F.lit(""))
-    name = F.col("object_name")
-    part = F.coalesce(F.col("part_no"), F.lit(0))
-    labelled = joined.select(
-        "service_id",
-        "object_id",
-        part.alias("note_part"),
-        change_label(F.col("diff"), name).alias("change_label"),
-        F.when(has_note, F.concat(F.col("position_note"), closing))
-        .otherwise(F.lit(""))
-        .alias("position_note"),
-        F.when(part == 0, F.col("diff")).otherwise(F.lit(0)).alias("diff"),
+    totals = note_totals(note)
+    told = lookup_join(note.select(*NOTE_KEYS, "note_no", "position_note"), totals, NOTE_KEYS)
+    closing = F.concat("position_note", F.lit(" at a cost of "), F.col("note_cost").cast("string"))
+    last = F.col("note_no") == F.col("note_lines")
+    lines = told.select(
+        *NOTE_KEYS, "note_no", F.when(last, closing).otherwise(F.col("position_note")).alias("position_note")
     )
-    return (
-        labelled.groupBy("service_id", "object_id", "note_part", "change_label", "position_note")
-        .agg(sum0("diff").alias("difference"))
-        .withColumn("analyst_notes", F.lit(""))
+    if adjustments is not None:
+        flat = adjustments.select(*NOTE_KEYS, "note", F.col("change_table_note").alias("position_note"))
+        own = numbered_within(flat, NOTE_KEYS, ["note"], "_no")
+        after = lookup_join(own, totals, NOTE_KEYS, "left")
+        lines = lines.unionByName(
+            after.select(
+                *NOTE_KEYS,
+                (F.col("_no") + F.coalesce("note_lines", F.lit(0))).alias("note_no"),
+                "position_note",
+            )
+        )
+    shown = lookup_join(lines, summary.select(*NOTE_KEYS).distinct(), NOTE_KEYS)
+    return shown.select(*NOTE_KEYS, "note_no", "position_note")
+
+
+def change_rows(
+    summary: DataFrame, note: DataFrame, adjustments: DataFrame | None = None
+) -> DataFrame:
+    """A labelled row per service and object (`note_no` 0), then a row per line of its note.
+
+    Only the first has a label and amounts, so sums over all rows stay right.
+    """
+    return object_rows(summary, note).unionByName(
+        note_lines(summary, note, adjustments), allowMissingColumns=True
     )
 
 
@@ -158,32 +197,40 @@ def change_label(diff: Column, name: Column) -> Column:
     )
 
 
-def change_rows_dense(grid: DataFrame, rows: DataFrame) -> DataFrame:
-    """Add a row for each object a service has no lines for; its label is still NULL."""
-    return grid.join(rows, ["service_id", "object_id"], "full_outer")
+def change_rows_dense(grid: DataFrame, rows: DataFrame, lines: DataFrame | None = None) -> DataFrame:
+    """Add a row for each object a service has no lines for; its label is still NULL.
+
+    Lines of notes always stand below a row, so they need no join with the grid and are passed apart.
+    """
+    dense = grid.join(rows, NOTE_KEYS, "full_outer")
+    return dense if lines is None else dense.unionByName(lines, allowMissingColumns=True)
 
 
 def change_sheet(
     bookends: DataFrame, dense: DataFrame, labels: PhaseLabels = PhaseLabels()
 ) -> DataFrame:
-    """Start budget, object rows, end budget; `section` and `object_id` keep that order."""
+    """Start budget, object rows with their notes, end budget.
+
+    `section`, `object_id` and `note_no` keep that order.
+    """
     ends = {0: labels.start_budget, 2: labels.end_budget}
+    number = F.coalesce(F.col("note_no"), F.lit(0))
+    label = F.coalesce(F.col("change_label"), lookup("object_id", K.NO_LINES_LABELS))
     objects = dense.select(
         "service_id",
         F.lit(1).alias("section"),
         "object_id",
-        F.coalesce(F.col("note_part"), F.lit(0)).alias("note_part"),
-        F.coalesce(
-            F.col("change_label"), lookup("object_id", K.NO_LINES_LABELS)
-        ).alias("change_label"),
+        number.alias("note_no"),
+        F.when(number == 0, label).alias("change_label"),
         F.col("difference").alias("amount"),
+        "note_cost",
         F.col("position_note").alias("automated_notes"),
         "analyst_notes",
     )
     budget = bookends.filter(F.col("change_label").isin(*ends.values())).select(
         "service_id",
         lookup("change_label", {v: k for k, v in ends.items()}).alias("section"),
-        F.lit(0).alias("note_part"),
+        F.lit(0).cast("bigint").alias("note_no"),
         "change_label",
         "amount",
     )
@@ -213,16 +260,23 @@ def active_services(sheet: DataFrame) -> DataFrame:
 
 
 def full_change_sheet(
-    totals: DataFrame, note: DataFrame, labels: PhaseLabels = PhaseLabels()
+    totals: DataFrame,
+    note: DataFrame,
+    labels: PhaseLabels = PhaseLabels(),
+    adjustments: DataFrame | None = None,
 ) -> DataFrame:
-    """The whole change sheet from `service_object_totals` and the position notes.
+    """The whole change sheet from `service_object_totals`, the position notes and flat adjustments.
 
-    Five branches read `totals`; pass a materialised table when its input is large.
+    Several branches read `totals`; pass a materialised table when its input is large.
     """
-    rows = change_rows(object_summary(totals), note)
-    dense = change_rows_dense(object_service_grid(totals), rows)
-    sheet = change_sheet(budget_bookends(totals, labels), dense, labels)
-    return change_sheet_by_agency(sheet, totals)
+    return change_sheet_by_agency(_sheet(totals, note, labels, adjustments), totals)
+
+
+def _sheet(totals: DataFrame, note: DataFrame, labels: PhaseLabels, adjustments: DataFrame | None) -> DataFrame:
+    summary = object_summary(totals)
+    told = note_lines(summary, note, adjustments)
+    dense = change_rows_dense(object_service_grid(totals), object_rows(summary, note), told)
+    return change_sheet(budget_bookends(totals, labels), dense, labels)
 
 
 def services_with_amounts(totals: DataFrame) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from phasediff import constants as K
 from phasediff.functions.columns import drop_last, sql_literal, sum0, upper_first
+from phasediff.operators.ordinals import numbered_within
 from phasediff.plans.positions import (
     COSTS,
     KINDS,
@@ -21,7 +22,6 @@ from phasediff.plans.positions import (
 )
 
 NOTE_SEPARATOR = " \n"
-NOTE_PART_CHARS = 1_000_000
 # Kinds that stand on the end service, fund and class: the only ones that can share a sentence.
 SHARED_SENTENCE = ("service_from", "fund_from", "reclass_to")
 
@@ -148,54 +148,20 @@ NOTE_ORDER = [
 ]
 
 
-def position_note(summary: DataFrame, part_chars: int = NOTE_PART_CHARS) -> DataFrame:
-    """The general-fund sentences of a service as one text, with their total cost.
+def position_note(summary: DataFrame) -> DataFrame:
+    """The general-fund sentences of each service, one row each, numbered in NOTE_ORDER.
 
-    A service may own a large share of all sentences. They are range partitioned by service and
-    sort key first, so a hot service is cut into consecutive pieces that are joined separately.
-    The pieces of a service become one text unless that is longer than `part_chars`; then each
-    piece stays a part of its own (`part_no`, `parts`), and the parts in order are the text.
+    A service may own a large share of all sentences, so they are never collected into one text. The
+    lines of a note in the order of `note_no`, with NOTE_SEPARATOR between them, are that text. The
+    summary is evaluated once, when this is called: the numbered lines are stored.
     """
     general = summary.filter(F.col("fund_name") == K.GENERAL_FUND_NAME).select(
         "service_id", *NOTE_ORDER, "change", "total_cost_diff"
     )
-    cut = general.repartitionByRange("service_id", *NOTE_ORDER).withColumn(
-        "_piece", F.spark_partition_id()
-    )
-    entry = F.struct(*NOTE_ORDER, "change")
-    pieces = cut.groupBy("service_id", "_piece").agg(
-        _ordered_text(entry, "change").alias("_text"),
-        sum0("total_cost_diff").alias("_cost"),
-    )
-    whole = Window.partitionBy("service_id")
-    sized = pieces.withColumns(
-        {
-            "_chars": F.sum(F.length("_text")).over(whole),
-            "total_cost_diff": F.sum("_cost").over(whole),
-            "_no": F.row_number().over(whole.orderBy("_piece")) - 1,
-            "_pieces": F.count(F.lit(1)).over(whole),
-        }
-    )
-    fits = F.col("_chars") <= part_chars
-    parts = sized.withColumns(
-        {
-            "part_no": F.when(fits, F.lit(0)).otherwise(F.col("_no")),
-            "parts": F.when(fits, F.lit(1)).otherwise(F.col("_pieces")).cast("int"),
-        }
-    )
-    return parts.groupBy("service_id", "part_no", "parts", "total_cost_diff").agg(
-        _ordered_text(F.struct("_no", "_text"), "_text").alias("position_note")
-    ).select(
+    return numbered_within(general, ["service_id"], NOTE_ORDER, "note_no").select(
         "service_id",
         F.lit(K.EMPLOYEE_OBJECT_ID).alias("object_id"),
-        "part_no",
-        "parts",
-        "position_note",
+        "note_no",
+        F.col("change").alias("position_note"),
         "total_cost_diff",
     )
-
-
-def _ordered_text(entry: Column, field: str) -> Column:
-    """Texts of a group in the order of the struct's leading fields."""
-    ordered = F.sort_array(F.collect_list(entry))
-    return F.array_join(F.transform(ordered, lambda x: x[field]), NOTE_SEPARATOR)

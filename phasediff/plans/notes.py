@@ -39,14 +39,17 @@ def notes_gaps(notes: DataFrame, sheets: DataFrame, gf: DataFrame) -> DataFrame:
 def carry_forward_notes(sheet: DataFrame, notes: DataFrame) -> DataFrame:
     """Put the earlier notes on each row; rows without an object (the totals) have none.
 
-    A row with several different notes is repeated, once for each; equal notes count once.
+    A row with several different notes is repeated, once for each; equal notes count once. Lines of
+    a position note are no rows of their own: the earlier note stands on the row above them.
     """
     earlier = (
         notes.filter(F.col("object_id").isNotNull() & F.col("analyst_notes").isNotNull())
         .select(*NOTE_KEYS, F.col("analyst_notes").alias("_earlier"))
         .distinct()
     )
-    return sheet.join(earlier, NOTE_KEYS, "left").withColumn(
+    on = [*NOTE_KEYS, "note_no"] if "note_no" in sheet.columns else NOTE_KEYS
+    earlier = earlier.withColumn("note_no", F.lit(0)) if len(on) > len(NOTE_KEYS) else earlier
+    return sheet.join(earlier, on, "left").withColumn(
         "analyst_notes", F.coalesce("_earlier", "analyst_notes")
     ).drop("_earlier")
 

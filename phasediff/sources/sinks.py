@@ -67,7 +67,7 @@ def export_change_sheets(
         agencies, "agency_name"
     )
     folders = ["agency", "service_id"] if by_service else ["agency"]
-    order = ["section", "object_order", "note_part", "change_label"]
+    order = ["section", "object_order", "note_no", "change_label"]
     if not by_service:
         order.insert(0, "service_id")
     return write_by(agency_key(chosen), path, folders, order, fmt)

@@ -366,48 +366,71 @@ TERMS |= {
          AND m.si_id IS NOT DISTINCT FROM c.si_id AND m.change = c.change
         WHERE m.agency_name IS NOT NULL""",
     "note": """
-        SELECT CAST(service_id AS BIGINT) AS service_id, 1 AS object_id, 0 AS part_no, 1 AS parts,
-               STRING_AGG(change, ' ' || CHR(10) ORDER BY agency_id, agency_name, service_name,
-                          class_id, class_name, si_id, sentence, change_num) AS position_note,
-               SUM(total_cost_diff) AS total_cost_diff
-        FROM pos_summary WHERE fund_name = 'General' GROUP BY service_id""",
+        SELECT CAST(service_id AS BIGINT) AS service_id, 1 AS object_id,
+               ROW_NUMBER() OVER (PARTITION BY service_id ORDER BY agency_id, agency_name, service_name,
+                          class_id, class_name, si_id, sentence, change_num) AS note_no,
+               change AS position_note, total_cost_diff
+        FROM pos_summary WHERE fund_name = 'General'""",
+    "note_total": """
+        SELECT service_id, object_id, MAX(note_no) AS note_lines, SUM(total_cost_diff) AS note_cost
+        FROM note GROUP BY service_id, object_id""",
+    "note_line": """
+        SELECT n.service_id, n.object_id, n.note_no,
+               CASE WHEN n.note_no = t.note_lines
+                    THEN n.position_note || ' at a cost of ' || CAST(t.note_cost AS VARCHAR)
+                    ELSE n.position_note END AS position_note
+        FROM note n JOIN note_total t ON n.service_id = t.service_id AND n.object_id = t.object_id
+        WHERE EXISTS (SELECT 1 FROM summary s WHERE s.service_id = n.service_id AND s.object_id = n.object_id)""",
+    "object_row": """
+        SELECT x.service_id, x.object_id, 0 AS note_no, x.change_label, '' AS position_note, x.difference,
+               t.note_cost, '' AS analyst_notes
+        FROM (SELECT service_id, object_id,
+                     CASE WHEN diff > 0 THEN 'Increase in ' || object_name
+                          WHEN diff < 0 THEN 'Decrease in ' || object_name
+                          WHEN diff = 0 THEN 'No change in ' || object_name
+                          ELSE object_name END AS change_label, COALESCE(SUM(diff), 0) AS difference
+              FROM summary GROUP BY service_id, object_id, change_label) x
+        LEFT JOIN note_total t ON x.service_id = t.service_id AND x.object_id = t.object_id""",
     "change_rows": """
-        SELECT service_id, object_id, 0 AS note_part, change_label, position_note,
-               COALESCE(SUM(diff), 0) AS difference, '' AS analyst_notes
-        FROM (SELECT s.service_id, s.object_id, s.diff,
-                     CASE WHEN s.diff > 0 THEN 'Increase in ' || s.object_name
-                          WHEN s.diff < 0 THEN 'Decrease in ' || s.object_name
-                          WHEN s.diff = 0 THEN 'No change in ' || s.object_name
-                          ELSE s.object_name END AS change_label,
-                     CASE WHEN s.object_id = 1 AND n.position_note <> ''
-                          THEN n.position_note || ' at a cost of ' || CAST(n.total_cost_diff AS VARCHAR)
-                          ELSE '' END AS position_note
-              FROM summary s LEFT JOIN note n ON s.service_id = n.service_id AND s.object_id = n.object_id) x
-        GROUP BY service_id, object_id, change_label, position_note""",
+        SELECT * FROM object_row
+        UNION ALL BY NAME SELECT * FROM note_line""",
+    "flat": """
+        SELECT service_id, object_id, note, amount,
+               'Flat adjustment: ' || note || ' at a cost of ' || CAST(amount AS VARCHAR) AS change_table_note
+        FROM (SELECT service_id, object_id, note,
+                     CAST(COALESCE(SUM(amount), 0) AS DECIMAL(38,2)) AS amount
+              FROM fx_flat WHERE include = 'Yes' GROUP BY service_id, object_id, note) f""",
+    "flat_line": """
+        SELECT f.service_id, f.object_id, COALESCE(t.note_lines, 0)
+                 + ROW_NUMBER() OVER (PARTITION BY f.service_id, f.object_id ORDER BY f.note) AS note_no,
+               f.change_table_note AS automated_notes
+        FROM flat f LEFT JOIN note_total t ON f.service_id = t.service_id AND f.object_id = t.object_id
+        WHERE EXISTS (SELECT 1 FROM summary s WHERE s.service_id = f.service_id AND s.object_id = f.object_id)""",
     "dense": """
         SELECT COALESCE(g.service_id, r.service_id) AS service_id,
-               COALESCE(g.object_id, r.object_id) AS object_id, r.note_part, r.change_label,
-               r.position_note, r.difference, r.analyst_notes
+               COALESCE(g.object_id, r.object_id) AS object_id, r.note_no, r.change_label,
+               r.position_note, r.difference, r.note_cost, r.analyst_notes
         FROM grid g FULL JOIN change_rows r ON g.service_id = r.service_id AND g.object_id = r.object_id""",
     "sheet": """
-        SELECT service_id, 0 AS section, CAST(NULL AS INT) AS object_id, 0 AS note_part, change_label,
-               amount, CAST(NULL AS VARCHAR) AS automated_notes, CAST(NULL AS VARCHAR) AS analyst_notes
+        SELECT service_id, 0 AS section, CAST(NULL AS INT) AS object_id, 0 AS note_no, change_label,
+               amount, NULL AS note_cost, CAST(NULL AS VARCHAR) AS automated_notes,
+               CAST(NULL AS VARCHAR) AS analyst_notes
         FROM bookends WHERE change_label = 'FY23 Adopted Budget'
         UNION ALL
-        SELECT service_id, 1, object_id, COALESCE(note_part, 0),
-               COALESCE(change_label, CASE object_id WHEN 0 THEN 'No Transfers' WHEN 1 THEN 'No Employee Costs'
+        SELECT service_id, 1, object_id, COALESCE(note_no, 0),
+               CASE WHEN COALESCE(note_no, 0) = 0 THEN COALESCE(change_label, CASE object_id WHEN 0 THEN 'No Transfers' WHEN 1 THEN 'No Employee Costs'
                  WHEN 3 THEN 'No Contractual Services' WHEN 4 THEN 'No Materials and Supplies'
                  WHEN 5 THEN 'No Equipment < $5K' WHEN 6 THEN 'No Equipment > $5K'
                  WHEN 7 THEN 'No Grants, Subsidies or Contributions' WHEN 8 THEN 'No Debt Service'
-                 WHEN 9 THEN 'No Capital Improvements' END),
-               difference, position_note, analyst_notes FROM dense
+                 WHEN 9 THEN 'No Capital Improvements' END) END,
+               difference, note_cost, position_note, analyst_notes FROM dense
         UNION ALL
-        SELECT service_id, 2, NULL, 0, change_label, amount, NULL, NULL
+        SELECT service_id, 2, NULL, 0, change_label, amount, NULL, NULL, NULL
         FROM bookends WHERE change_label = 'FY24 CLS Budget'""",
     "agency_sheet": """
         SELECT s.service_id, a.agency_name, s.section, s.object_id AS object_order,
                CASE WHEN s.object_id = 1 THEN '1, 2' ELSE CAST(s.object_id AS VARCHAR) END AS object_id,
-               s.note_part, s.change_label, s.amount, s.automated_notes, s.analyst_notes
+               s.note_no, s.change_label, s.amount, s.note_cost, s.automated_notes, s.analyst_notes
         FROM sheet s LEFT JOIN (SELECT DISTINCT agency_name, service_id FROM gf) a
           ON s.service_id = a.service_id""",
     # ------------------------------------------------------------ services and agencies
@@ -550,10 +573,10 @@ _DOUBLE = {
     "detail": "amount_start amount_end diff",
     "summary": "amount_start amount_end diff",
     "bookends": "amount",
-    "dense": "difference",
-    "change_rows": "difference",
-    "sheet": "amount",
-    "agency_sheet": "amount",
+    "dense": "difference note_cost",
+    "change_rows": "difference note_cost",
+    "sheet": "amount note_cost",
+    "agency_sheet": "amount note_cost",
     "note": "total_cost_diff",
     "pos_e": "salary total_cost opcs",
     "phase_lines": "prior_actual adopted cls request",
@@ -808,21 +831,25 @@ QUERIES: dict[str, str] = {
         UNION ALL
         SELECT service_id, 'missing from notes' AS gap FROM (SELECT DISTINCT service_id FROM notes) n
         WHERE service_id NOT IN (SELECT service_id FROM notes WHERE analyst_notes IS NOT NULL)""",
+    "change_sheet_with_adjustments": """
+        SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount, CAST(note_cost AS DOUBLE) AS note_cost) FROM agency_sheet
+        UNION ALL BY NAME
+        SELECT f.*  REPLACE (CASE WHEN f.object_id = 1 THEN '1, 2' ELSE CAST(f.object_id AS VARCHAR) END AS object_id),
+               a.agency_name, 1 AS section, f.object_id AS object_order
+        FROM flat_line f LEFT JOIN (SELECT DISTINCT agency_name, service_id FROM gf) a
+          ON f.service_id = a.service_id""",
+    "services_with_amounts": "SELECT DISTINCT agency_name, service_id FROM agency_sheet WHERE amount <> 0",
     "carry_forward_notes": """
-        SELECT s.* REPLACE (CAST(s.amount AS DOUBLE) AS amount,
+        SELECT s.* REPLACE (CAST(s.amount AS DOUBLE) AS amount, CAST(s.note_cost AS DOUBLE) AS note_cost,
                COALESCE(n.note, s.analyst_notes) AS analyst_notes)
         FROM agency_sheet s
         LEFT JOIN (SELECT DISTINCT agency_name, service_id, object_id, analyst_notes AS note
                    FROM notes WHERE object_id IS NOT NULL AND analyst_notes IS NOT NULL) n
-          ON s.agency_name = n.agency_name AND s.service_id = n.service_id AND s.object_id = n.object_id""",
-    "flat_adjustments": """
-        SELECT service_id, object_id, note, CAST(amount AS DOUBLE) AS amount,
-               'Flat adjustment: ' || note || ' at a cost of ' || CAST(amount AS VARCHAR) AS change_table_note
-        FROM (SELECT service_id, object_id, note,
-                     CAST(COALESCE(SUM(amount), 0) AS DECIMAL(38,2)) AS amount
-              FROM fx_flat WHERE include = 'Yes' GROUP BY service_id, object_id, note) f""",
+          ON s.agency_name = n.agency_name AND s.service_id = n.service_id AND s.object_id = n.object_id
+         AND s.note_no = 0""",
+    "flat_adjustments": "SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount) FROM flat",
     "export_change_sheets": """
-        SELECT s.* REPLACE (CAST(s.amount AS DOUBLE) AS amount), a.agency_short,
+        SELECT s.* REPLACE (CAST(s.amount AS DOUBLE) AS amount, CAST(s.note_cost AS DOUBLE) AS note_cost), a.agency_short,
                REPLACE(s.agency_name, '&', 'and') AS agency
         FROM agency_sheet s
         JOIN (SELECT DISTINCT agency_name, agency_short FROM fx_assignment WHERE operational) a

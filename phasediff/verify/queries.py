@@ -66,8 +66,10 @@ def _note(fx: Fixtures) -> DataFrame:
     return narrative.position_note(narrative.position_summary(_sentences(fx)))
 
 
-def _rows(fx: Fixtures) -> DataFrame:
-    return lines.change_rows(lines.object_summary(_gf(fx)), _note(fx))
+def _dense(totals: DataFrame, note: DataFrame) -> DataFrame:
+    summary = lines.object_summary(totals)
+    rows, told = lines.object_rows(summary, note), lines.note_lines(summary, note)
+    return lines.change_rows_dense(lines.object_service_grid(totals), rows, told)
 
 
 def _sheet(fx: Fixtures) -> DataFrame:
@@ -111,20 +113,25 @@ def object_service_grid(fx):
 
 @query
 def change_rows(fx):
-    return _rows(fx)
+    return lines.change_rows(lines.object_summary(_totals(fx)), _note(fx))
 
 
 @query
 def change_rows_dense(fx):
-    return lines.change_rows_dense(lines.object_service_grid(_gf(fx)), _rows(fx))
+    return _dense(_totals(fx), _note(fx))
 
 
 @query
 def change_sheet(fx):
     totals = _totals(fx)
-    rows = lines.change_rows(lines.object_summary(totals), _note(fx))
-    dense = lines.change_rows_dense(lines.object_service_grid(totals), rows)
-    return lines.change_sheet(lines.budget_bookends(totals), dense)
+    return lines.change_sheet(lines.budget_bookends(totals), _dense(totals, _note(fx)))
+
+
+@query
+def change_sheet_with_adjustments(fx):
+    """The sheet by agency with two sources of notes on one row."""
+    flat = notes.flat_adjustments(fx.flat_adjustment)
+    return lines.full_change_sheet(_totals(fx), _note(fx), adjustments=flat)
 
 
 @query
@@ -134,6 +141,11 @@ def change_sheet_by_agency(fx):
 
 @query
 def active_services(fx):
+    return lines.active_services(_sheet(fx))
+
+
+@query
+def services_with_amounts(fx):
     return lines.services_with_amounts(lines.service_object_totals(_gf(fx)))
 
 

@@ -28,7 +28,7 @@ def frame(spark, *rows):
 
 PAY, BENEFITS = (1, "Salaries"), (2, "Other Personnel Costs")
 NO_NOTE = (
-    "service_id bigint, object_id int, part_no int, parts int, position_note string, "
+    "service_id bigint, object_id int, note_no bigint, position_note string, "
     "total_cost_diff decimal(38,2)"
 )
 
@@ -92,11 +92,11 @@ def test_sheet_order_labels_and_totals(spark):
         line(2, (0, "Transfers"), start=7, end=7),
         line(3, (8, "Debt Service"), start=0, end=0),
     )
-    note = spark.createDataFrame([(1, 1, 0, 1, "Create Clerk position", D("9.00"))], NO_NOTE)
+    note = spark.createDataFrame([(1, 1, 1, "Create Clerk position", D("9.00"))], NO_NOTE)
     totals = L.service_object_totals(L.general_fund_lines(df))
     sheet = L.full_change_sheet(totals, note)
-    rows = sheet.orderBy("service_id", "section", "object_order").collect()
-    first = [(r.object_id, r.change_label, r.amount) for r in rows if r.service_id == 1]
+    rows = sheet.orderBy("service_id", "section", "object_order", "note_no").collect()
+    first = [(r.object_id, r.change_label, r.amount) for r in rows if r.service_id == 1 and r.note_no == 0]
     assert first == [
         (None, "FY23 Adopted Budget", 110),
         ("0", "No Transfers", None),
@@ -118,16 +118,26 @@ def test_sheet_order_labels_and_totals(spark):
     assert active == {("Parks", 1), ("Parks", 2)}
 
 
-def test_further_note_parts_do_not_change_the_amount(spark):
-    df = frame(spark, line(1, PAY, start=100, end=150))
+def test_lines_of_notes_come_after_their_row(spark):
+    df = frame(spark, line(1, PAY, start=100, end=150), line(1, (3, "Contractual Services"), start=5, end=5))
     note = spark.createDataFrame(
-        [(1, 1, 0, 2, "Create A position", D(9)), (1, 1, 1, 2, "Create B position", D(9))], NO_NOTE
+        [(1, 1, 1, "Create A position", D(4)), (1, 1, 2, "Create B position", D(5)), (2, 1, 1, "Create C position", D(1))], NO_NOTE
     )
-    rows = L.change_rows(L.object_summary(df), note).orderBy("note_part").collect()
-    assert [(r.difference, r.position_note) for r in rows] == [
-        (50, "Create A position"),
-        (0, "Create B position at a cost of 9.00"),
+    flat = spark.createDataFrame(
+        [(1, 1, "b", "Flat b"), (1, 1, "a", "Flat a"), (1, 3, "c", "Flat c"), (1, 2, "d", "no such row")],
+        "service_id bigint, object_id int, note string, change_table_note string",
+    )
+    rows = L.change_rows(L.object_summary(df), note, flat).orderBy("object_id", "note_no").collect()
+    assert [(r.object_id, r.note_no, r.difference, r.note_cost, r.position_note) for r in rows] == [
+        (1, 0, 50, 9, ""),
+        (1, 1, None, None, "Create A position"),
+        (1, 2, None, None, "Create B position at a cost of 9.00"),
+        (1, 3, None, None, "Flat a"),
+        (1, 4, None, None, "Flat b"),
+        (3, 0, 0, None, ""),
+        (3, 1, None, None, "Flat c"),
     ]
+    assert {r.change_label for r in rows if r.note_no} == {None}
 
 
 def test_service_in_two_agencies_fans_out(spark):

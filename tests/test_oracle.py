@@ -82,5 +82,9 @@ def test_entry_runs(spark):
     import __spark_entry__ as contract
 
     assert contract.entry(spark).count() > 0
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert {*QUERIES} <= {*contract.queries()} and {*ORACLES} <= {*contract.oracle_sql()}
+    assert {*contract.oracle_sql()} <= {*contract.queries()}
+    without = {*contract.queries()} - {*contract.oracle_sql()}
+    checked = contract.corpus.CHECKED_BY_TESTS if contract.corpus else ()
+    assert without == {*checked}
     assert os.path.isdir(DATA)

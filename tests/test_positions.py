@@ -141,30 +141,42 @@ def test_summary_drops_rows_without_an_agency_but_counts_them(spark):
     assert [(r.agency_name, r.change) for r in rows] == [("Parks", "Create 2 Clerk positions")]
 
 
-def test_note_joins_general_sentences_in_key_order(spark):
+def test_note_has_the_general_sentences_in_key_order(spark):
     start = [job(9, fund=4000)]
     end = [job(1), job(2, cls=ANALYST), job(3, cls=ANALYST)]
-    row = N.position_note(N.position_summary(sentences(spark, start, end))).first()
-    assert row.position_note == "Create 2 Analyst positions \nCreate Clerk position"
-    assert (row.part_no, row.parts, row.object_id, row.total_cost_diff) == (0, 1, 1, 360)
-
-
-def test_long_note_is_split_into_exact_parts(spark):
-    """One service holds nearly all sentences; its note is cut, nothing is lost or reordered."""
-    start = [job(i, service=1000 + i) for i in range(400)]
-    end = [job(i, service=1) for i in range(400)]
-    summary = N.position_summary(sentences(spark, start, end))
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    spark.conf.set(key, "false")
+    rows = N.position_note(N.position_summary(sentences(spark, start, end))).orderBy("note_no").collect()
+    assert [(r.note_no, r.position_note, r.object_id, r.total_cost_diff) for r in rows] == [
+        (1, "Create 2 Analyst positions", 1, 240),
+        (2, "Create Clerk position", 1, 120),
+    ]
+
+
+def test_long_note_does_not_depend_on_partitions(spark):
+    """One service with a note of over a million characters and nearly all sentences of the table."""
+    n, word = 8000, "x" * 150
+    summary = spark.range(n).selectExpr(
+        f"IF(id % 20 = 0, id, 1) AS service_id", "'General' AS fund_name", "'1' AS agency_id", "'Parks' AS agency_name",
+        "'S' AS service_name", "CAST(id % 7 AS STRING) AS class_id", "'c' AS class_name", "CAST(NULL AS STRING) AS si_id",
+        f"concat('{word}', lpad(pmod(id * 7919, {n}), 5, '0')) AS sentence", "1 AS change_num", "concat('say ', sentence) AS change",
+        "CAST(1 AS DECIMAL(38,2)) AS total_cost_diff",
+    )
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": None}
+    before = {k: spark.conf.get(k) for k in conf}
+    found = []
     try:
-        whole = N.position_note(summary).filter("service_id = 1").collect()
-        parts = N.position_note(summary, part_chars=100).filter("service_id = 1").orderBy("part_no").collect()
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for partitions in (1, 200):
+            spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+            found.append(sorted(N.position_note(summary.repartition(5)).collect()))
     finally:
-        spark.conf.set(key, "true")
-    assert len(whole) == 1 and len(parts) > 1
-    assert [p.part_no for p in parts] == list(range(len(parts)))
-    assert N.NOTE_SEPARATOR.join(p.position_note for p in parts) == whole[0].position_note
-    assert {p.total_cost_diff for p in parts} == {whole[0].total_cost_diff} == {D(400 * 120)}
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found[0] == found[1] and len(found[0]) == n
+    hot = [r for r in found[0] if r.service_id == 1]
+    assert [r.note_no for r in hot] == list(range(1, len(hot) + 1))
+    keys = summary.filter("service_id = 1").orderBy("class_id", "sentence").select("change").collect()
+    assert [r.position_note for r in hot] == [k.change for k in keys]
+    assert sum(len(r.position_note) for r in hot) > 1_000_000
 
 
 @pytest.mark.parametrize("bad", [[job(1), job(1)], [job(None)]])

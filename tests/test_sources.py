@@ -110,7 +110,7 @@ def test_change_sheets_by_service_folders(spark, fx, tmp_path):
     gf = lines.general_fund_lines(fx.budget_line)
     note = spark.createDataFrame(
         [],
-        "service_id bigint, object_id int, part_no int, parts int, position_note string, total_cost_diff decimal(38,2)",
+        "service_id bigint, object_id int, note_no bigint, position_note string, total_cost_diff decimal(38,2)",
     )
     sheet = lines.full_change_sheet(lines.service_object_totals(gf), note)
     path = sinks.export_change_sheets(sheet, fx.assignment, str(tmp_path / "out"), by_service=True)
