@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -57,6 +58,63 @@ class Pieces:
     def __init__(self, tokens: list[bytes]):
         self.tokens = tokens
         self.lengths = np.array([len(t) for t in tokens], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def are(self, ids: np.ndarray, data: np.ndarray) -> bool:
+        """Whether the bytes of these tokens are data."""
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        if not len(ids) or ends[-1] != len(data):
+            return not len(ids) and not len(data)
+        return bool((self.flat[np.repeat(self.starts[ids] - ends + lengths, lengths) + np.arange(len(data))] == data).all())
+
+
+class ByteLevel:
+    """Ids of the byte-level tokenizer.
+
+    Most texts go through a faster library that merges by the rank of the joined bytes, not by a list of pairs.
+    Both make the same merges if the list is in the order of ids and every token, taken alone, is merged into
+    itself: were two parts of a token next to each other without being its listed pair, the token alone would end
+    in these two parts. That is checked when the vocabulary is loaded. The classes of letters in both libraries may
+    come from different versions of Unicode, so only texts below U+0250 take that way.
+    """
+
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    _OLD_LETTERS = re.compile("[\x00-\u024f]*").fullmatch
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = True
+        letters = byte_letters()
+        texts = [self.library.id_to_token(k) for k in range(self.library.get_vocab_size())]
+        self.pieces = Pieces([bytes(letters[c] for c in t) if t and all(c in letters for c in t) else (t or "").encode() for t in texts])
+        with open(path, encoding="utf-8") as file:
+            given = json.load(file)
+        self.fast = self._fast(given) if self._same_merges(given, texts) else None
+
+    def _same_merges(self, given: dict, texts: list[str]) -> bool:
+        model, cut = given["model"], given["pre_tokenizer"]
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        vocabulary = model["vocab"]
+        ordered = [vocabulary.get(x + y) for x, y in merges]
+        plain = cut["type"] == "ByteLevel" and not cut["add_prefix_space"] and cut.get("use_regex", True) and given["normalizer"] is None
+        bytes_first = all(vocabulary.get(c, 256) < 256 for c in byte_letters()) and ordered == list(range(256, 256 + len(merges)))
+        return plain and bytes_first and all([x.id for x in self.library.model.tokenize(t)] == [k] for t, k in vocabulary.items() if k < 256 + len(merges))
+
+    def _fast(self, given: dict):
+        import tiktoken
+
+        ranks = {self.pieces.tokens[k]: k for k in range(256 + len(given["model"]["merges"]))}
+        return tiktoken.Encoding("byte-level", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        quick = [self.fast is not None and self._OLD_LETTERS(t) is not None for t in texts]
+        others = self.library.encode_batch_fast([t for t, q in zip(texts, quick) if not q], add_special_tokens=False)
+        rest = iter(others)
+        return [np.array(self.fast.encode_ordinary(t) if q else next(rest).ids, np.int64) for t, q in zip(texts, quick)]
 
 
 @lru_cache(2)
@@ -64,17 +122,12 @@ def tokenizers_of(a_path: str, b_path: str) -> tuple:
     """Both tokenizers with the bytes of their tokens."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     import sentencepiece
-    from tokenizers import Tokenizer
 
-    a = Tokenizer.from_file(a_path)
-    a.encode_special_tokens = True
-    letters = byte_letters()
-    texts = [a.id_to_token(k) for k in range(a.get_vocab_size())]
-    a_pieces = Pieces([bytes(letters[c] for c in t) if t and all(c in letters for c in t) else (t or "").encode() for t in texts])
+    a = ByteLevel(a_path)
     b = sentencepiece.SentencePieceProcessor(model_file=b_path)
     pieces = [(k, b.id_to_piece(k)) for k in range(b.get_piece_size())]
     b_pieces = Pieces([bytes([int(p[3:5], 16)]) if b.is_byte(k) else p.replace("▁", " ").encode() for k, p in pieces])
-    return a, a_pieces, b, b_pieces
+    return a, a.pieces, b, b_pieces
 
 
 def _sizes(a_path: str, b_path: str) -> tuple[int, int]:
@@ -82,15 +135,13 @@ def _sizes(a_path: str, b_path: str) -> tuple[int, int]:
     return len(a.tokens), len(b.tokens)
 
 
-def _encoded(texts: list[str], paths: tuple[str, str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _encoded(texts: list[str], paths: tuple[str, str]) -> Iterator[tuple[bytes, bytes]]:
     """Ids of both tokenizers for each text; none where the joined bytes of either are not a space and the text."""
     a, a_pieces, b, b_pieces = tokenizers_of(*paths)
-    spaced = [" " + t for t in texts]
-    none = np.zeros(0, np.uint32)
-    for text, x, y in zip(spaced, a.encode_batch_fast(spaced, add_special_tokens=False), b.encode(texts, num_threads=1)):
-        data, x = text.encode(), x.ids
-        same = len(text) > 1 and b"".join([a_pieces.tokens[k] for k in x]) == data and b"".join([b_pieces.tokens[k] for k in y]) == data
-        yield (np.array(x, np.uint32), np.array(y, np.uint32)) if same else (none, none)
+    for text, x, y in zip(texts, a.encode([" " + t for t in texts]), b.encode(texts, num_threads=1)):
+        data, y = np.frombuffer((" " + text).encode(), np.uint8), np.array(y, np.int64)
+        same = text and a_pieces.are(x, data) and b_pieces.are(y, data)
+        yield (x.astype("<u4").tobytes(), y.astype("<u4").tobytes()) if same else (b"", b"")
 
 
 def encoded(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -107,7 +158,7 @@ def encoded(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                     taken.append(texts[last].as_py() or "")
                     size += len(taken[-1])
                     last += 1
-                pairs = [(x.astype("<u4").tobytes(), y.astype("<u4").tobytes()) for x, y in _encoded(taken, (a_path, b_path))]
+                pairs = list(_encoded(taken, (a_path, b_path)))
                 columns = [ids.slice(first, last - first), pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
                 first = last

@@ -96,6 +96,17 @@ def test_perfect_hash_with_a_rest(monkeypatch):
     assert own.slots(np.array([3], np.uint64)).tolist() in ([-1], *[[k] for k in range(500)])
 
 
+def test_faster_way_gives_the_same_ids():
+    own, library = token_alignment.ByteLevel(A), Tokenizer.from_file(A)
+    library.encode_special_tokens = True
+    assert own.fast is not None
+    rng = random.Random(8)
+    pool = ["the", "Thess", "é", "日本", "🙂", "12", "'s", "x\n", "\t", " ", "  ", "\u00a0", "\u3000", "\u0301e", "<s>", "!!", "<|endoftext|>", "ß", "\x1c", "\x85", "²"]
+    texts = ["".join(rng.choice(pool) if rng.random() < 0.7 else chr(rng.randrange(1, 0x250)) for _ in range(rng.randrange(25))) for _ in range(4000)]
+    expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in own.encode(texts)] == expected
+
+
 ROWS = [*(r[:2] for r in brute.ODD), (30, "<|endoftext|> <s> a"), (31, "▁x"), (32, "a  b   c "), (33, " "), (34, "\x00ﬁ x"), (35, "café")]
 
 
