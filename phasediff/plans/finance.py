@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from phasediff import constants as K
 from phasediff.operators.ordering import presentation_sort
+from phasediff.operators.skew import skew_join
 
 LINE_KEYS = [
     "agency_id",
@@ -139,13 +140,15 @@ EXPENDITURE_SORT = [
 def expenditure_detail(
     cur_exp: DataFrame, line_item_report: DataFrame, carry_fwd: DataFrame
 ) -> DataFrame:
-    """Current-year spending by month with the justification and the carry-forward purpose."""
+    """Current-year spending by month with the justification and the carry-forward purpose.
+
+    A line is repeated for each of its justifications and purposes; hot keys are spread, see `skew_join`.
+    """
     line_keys = ["agency_id", "program_id", "activity_id", "fund_id", "subobject_id"]
     reasons = line_item_report.select(*line_keys, "justification")
     purposes = carry_fwd.select(*line_keys, "object_id", F.col("text").alias("purpose"))
-    joined = cur_exp.join(reasons, line_keys, "left").join(
-        purposes, [*line_keys, "object_id"], "left"
-    )
+    explained = skew_join(cur_exp, reasons, line_keys)
+    joined = skew_join(explained, purposes, [*line_keys, "object_id"])
     # Report headings of the amounts.
     before = {
         "prior_adopted": "FY21 Adopted",

@@ -49,12 +49,11 @@ _JOINED = """
        concat(array_join(slice(_parts, 1, _told - 1), ', '), ', and ', element_at(_parts, -1)))"""
 
 
-def position_sentences(start: DataFrame, end: DataFrame) -> DataFrame:
-    """Every change with the sentence it belongs to and its place in it."""
+def _sentence_rows(jobs: DataFrame, *kinds: str) -> DataFrame:
+    """Changes of the given kinds with their sentence, still with the wordings they are built from."""
     helpers = _sentence_columns()
-    jobs = changed_jobs(job_diff(start, end), *MERGED_KINDS)
-    told = jobs.withColumns({c: F.expr(sql) for c, sql in helpers.items()})
-    rows = changes_of_jobs(told, *MERGED_KINDS)
+    told = changed_jobs(jobs, *kinds).withColumns({c: F.expr(sql) for c, sql in helpers.items()})
+    rows = changes_of_jobs(told, *kinds)
     shared = f"change_type IN ({', '.join(sql_literal(k) for k in SHARED_SENTENCE)})"
     places = " ".join(f"WHEN '{k}' THEN _at_{k}" for k in SHARED_SENTENCE)
     text = upper_first(F.expr(f"IF({shared}, {_JOINED}, change_single)"))
@@ -66,9 +65,12 @@ def position_sentences(start: DataFrame, end: DataFrame) -> DataFrame:
         }
     )
     shorter = F.when(F.col("change_num") > 1, drop_last(F.col("change"), "transfer"))
-    return numbered.withColumn("change", shorter.otherwise(F.col("change"))).drop(
-        "change_single", "change_multiple", *helpers
-    )
+    return numbered.withColumn("change", shorter.otherwise(F.col("change"))).drop(*helpers)
+
+
+def position_sentences(start: DataFrame, end: DataFrame) -> DataFrame:
+    """Every change with the sentence it belongs to and its place in it."""
+    return _sentence_rows(job_diff(start, end), *MERGED_KINDS).drop("change_single", "change_multiple")
 
 
 def fund_moves_elsewhere(start: DataFrame, end: DataFrame) -> DataFrame:
@@ -91,6 +93,25 @@ def position_detail(sentences: DataFrame, elsewhere: DataFrame) -> DataFrame:
     return both.withColumn("service_id", F.col("service_id").cast("bigint"))
 
 
+def full_position_detail(start: DataFrame, end: DataFrame) -> DataFrame:
+    """`position_detail` of two snapshots from one join of them.
+
+    The joined row of a job expands into its rows of all eight kinds; a move between other funds has its
+    own wording, and neither a count nor a difference.
+    """
+    rows = _sentence_rows(job_diff(start, end), *K.CHANGE_TYPES).filter("change_order = 1")
+    elsewhere = F.col("change_type") == "fund_non_gf"
+    own = F.replace(F.col("change_multiple"), F.lit("transfer"), F.lit("Transfer"))
+    absent = ["change_num", "change_net", *[f"{n}_diff" for n in COSTS]]
+    return rows.withColumns(
+        {
+            "change": F.when(elsewhere, own).otherwise(F.col("change")),
+            "service_id": F.col("service_id").cast("bigint"),
+            **{c: F.when(~elsewhere, F.col(c)) for c in absent},
+        }
+    ).drop("change_single", "change_multiple", "change_order")
+
+
 SUMMARY_KEYS = [
     "agency_id",
     "agency_name",

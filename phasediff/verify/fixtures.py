@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from phasediff import constants as K
 from phasediff.functions.columns import case_sql, sql_literal
 from phasediff.operators.joins import estimated_bytes, lookup_join
+from phasediff.operators.scratch import materialize
 from phasediff.plans.finance import line_summary_wide
 
 # Code tables of the fixtures.
@@ -404,17 +405,22 @@ class Fixtures:
             "tot_budget - ytd_exp - 8 AS surp_def",
         )
 
+    @cached_property
+    def cur_expend_table(self) -> DataFrame:
+        """Stored once: three inputs of the expenditure detail derive from it."""
+        return materialize(self.cur_expend, "cur_expend")
+
     @cached_property
     def line_item_report(self) -> DataFrame:
         return (
-            self.cur_expend.filter("program_id % 4 <> 1")
+            self.cur_expend_table.filter("program_id % 4 <> 1")
             .groupBy("agency_id", "program_id", "activity_id", "fund_id", "subobject_id")
             .agg(F.expr("max(concat('why ', object_name)) AS justification"))
         )
 
     @cached_property
     def carry_fwd(self) -> DataFrame:
-        return self.cur_expend.filter("object_id = 6").selectExpr(
+        return self.cur_expend_table.filter("object_id = 6").selectExpr(
             "agency_id",
             "program_id",
             "activity_id",

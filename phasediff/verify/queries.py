@@ -222,8 +222,7 @@ def position_sentences(fx):
 
 @query
 def position_detail(fx):
-    elsewhere = narrative.fund_moves_elsewhere(fx.pos_start, fx.pos_end)
-    return narrative.position_detail(_sentences(fx), elsewhere)
+    return narrative.full_position_detail(fx.pos_start, fx.pos_end)
 
 
 @query
@@ -414,7 +413,7 @@ def opc_report(fx):
 
 @query
 def expenditure_detail(fx):
-    return finance.expenditure_detail(fx.cur_expend, fx.line_item_report, fx.carry_fwd)
+    return finance.expenditure_detail(fx.cur_expend_table, fx.line_item_report, fx.carry_fwd)
 
 
 @query

@@ -19,7 +19,7 @@ def test_filters_and_columns_reach_the_scan(spark, fx, tmp_path):
 
 def test_one_shuffle_per_side_for_all_changes(spark, fx, tmp_path):
     """Join, uniqueness check, kinds and sentences share one partitioning by job."""
-    from phasediff.plans.narrative import position_sentences
+    from phasediff.plans.narrative import full_position_detail, position_sentences
 
     start, end = str(tmp_path / "s"), str(tmp_path / "e")
     fx.pos_start.write.parquet(start)
@@ -31,6 +31,8 @@ def test_one_shuffle_per_side_for_all_changes(spark, fx, tmp_path):
         assert plan_of(df).count("Exchange hashpartitioning") == 2
         changes = positions.position_changes(spark.read.parquet(start), spark.read.parquet(end))
         assert plan_of(changes).count("Exchange hashpartitioning") == 2
+        detail = full_position_detail(spark.read.parquet(start), spark.read.parquet(end))
+        assert plan_of(detail).count("Exchange hashpartitioning") == 2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 

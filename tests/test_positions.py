@@ -111,6 +111,14 @@ def test_move_between_other_funds_only_shows_in_the_detail(spark):
     assert row.change_num is None and row.total_cost_diff is None and row.service_id == 1
 
 
+def test_detail_of_one_join_equals_the_two_parts(fx):
+    parts = N.position_detail(
+        N.position_sentences(fx.pos_start, fx.pos_end), N.fund_moves_elsewhere(fx.pos_start, fx.pos_end)
+    )
+    whole = N.full_position_detail(fx.pos_start, fx.pos_end).select(*parts.columns)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, parts.collect()))
+
+
 def test_detail_keeps_one_row_per_sentence(spark):
     start, end = frame(spark, job(1, service=5)), frame(spark, job(1, service=6, cls=ANALYST))
     detail = N.position_detail(
