@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def jdbc_options(
@@ -42,6 +44,20 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **parts) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(url, table, **parts)).load()
 
 
+def bound_table(spark: SparkSession, name: str, where: str = "TRUE", **values) -> DataFrame:
+    """A table or view whose name and values are bound as parameters, never put into the statement.
+
+    `where` may use `:name` for each of the values. A name that is none is refused by the binder.
+    """
+    return spark.sql(f"SELECT * FROM IDENTIFIER(:source_table) WHERE {where}", args={"source_table": name, **values})
+
+
+def phase_tables(spark: SparkSession, stem: str, phases: list[str], where: str = "TRUE", **values) -> DataFrame:
+    """The tables of several phases (`stem_phase`), stacked, with the phase of each row."""
+    tables = [bound_table(spark, f"{stem}_{p}", where, **values).withColumn("phase", F.lit(p)) for p in phases]
+    return reduce(DataFrame.unionByName, tables)
+
+
 def phase_table(schema: str, stem: str, phase: str | None = None) -> str:
     """Name of a finance table, some of which exist once per phase."""
     name = stem if phase is None else f"{stem}_{phase}"

@@ -31,10 +31,18 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
 
 
 def write_by(
-    df: DataFrame, path: str, partitions: list[str], order: list[str], fmt: str = "parquet"
+    df: DataFrame,
+    path: str,
+    partitions: list[str],
+    order: list[str],
+    fmt: str = "parquet",
+    whole: bool = False,
 ) -> str:
     """One folder per partition value with rows in order.
 
+    Only the folders that have rows in `df` are replaced, when all of them are written: a rerun for one
+    agency leaves the others, and a failed rerun leaves what was there. `whole` replaces all folders.
+
     Range partitioning by folder and order keeps the files of a folder consecutive and few, and
     splits a folder that holds a large share of the rows over several tasks. The number of the
     task that produced a row is the last key, so that rows with equal keys can be split as well.
@@ -42,7 +50,15 @@ def write_by(
     keys = [*partitions, *order, "_tie"]
     ranged = df.withColumn("_tie", F.spark_partition_id()).repartitionByRange(*keys)
     ordered = ranged.sortWithinPartitions(*keys).drop("_tie")
-    ordered.write.mode("overwrite").partitionBy(*partitions).format(fmt).save(path)
+    writer = ordered.write.mode("overwrite").partitionBy(*partitions).format(fmt)
+    writer.option("partitionOverwriteMode", "static" if whole else "dynamic").save(path)
+    return path
+
+
+def write_versions(fact: DataFrame, path: str, fmt: str = "parquet") -> str:
+    """A fact with a `phase` column, stored as one folder per phase; other phases stay as they are."""
+    writer = fact.write.mode("overwrite").partitionBy("phase").format(fmt)
+    writer.option("partitionOverwriteMode", "dynamic").save(path)
     return path
 
 
@@ -79,10 +95,12 @@ def export_service_tables(
     assignments: DataFrame,
     path: str,
     fmt: str = "parquet",
+    only: tuple[str, ...] | None = None,
 ) -> dict[str, str]:
     """Budget table, ladder and the three agency roll-ups of every operational agency.
 
-    All five reports read `summary`; pass a materialised table when its input is large.
+    All five reports read `summary`; pass a materialised table when its input is large. `only` names the
+    reports to write.
     """
     agencies = (
         service.operational_agencies(assignments).select("agency_name", "agency_clean").distinct()
@@ -111,6 +129,8 @@ def export_service_tables(
     }
     written = {}
     for name, (report, order) in reports.items():
+        if only is not None and name not in only:
+            continue
         chosen = agency_key(report.join(agencies, "agency_name"))
         written[name] = write_by(chosen, f"{path}/{name}", ["agency"], order, fmt)
     return written

@@ -136,16 +136,14 @@ class Fixtures:
 
     def _budget_lines(self, kept: str = "TRUE") -> DataFrame:
         end = "CASE l_orderkey % 3 WHEN 0 THEN price - qty WHEN 1 THEN price ELSE price + qty END"
-        object_id = "CAST(l_partkey % 10 AS INT)"
+        shifted = "IF((l_suppkey + l_partkey % 10) % 9 = 0, l_partkey + 2, l_partkey)"
+        object_id = f"CAST({shifted} % 10 AS INT)"
 
         def amount(value: str, missing: int) -> str:
             case = f"CASE WHEN l_suppkey % 20 = 7 THEN 0 WHEN l_orderkey % {missing} = 0 THEN NULL"
             return f"CAST({case} ELSE {value} END AS DECIMAL(18,2))"
 
-        lines = self.table("lineitem").filter(
-            "(l_suppkey + l_partkey % 10) % 9 <> 0 AND l_linenumber BETWEEN 1 AND 7"
-        )
-        priced = lines.selectExpr(
+        priced = self.table("lineitem").selectExpr(
             "*",
             "CAST(l_extendedprice AS DECIMAL(18,2)) AS price",
             "CAST(l_quantity AS DECIMAL(18,2)) AS qty",
@@ -219,6 +217,21 @@ class Fixtures:
     def pos_end(self) -> DataFrame:
         return self._positions("o_orderkey % 10 <> 1", moved=True)
 
+    @cached_property
+    def pos_all_start(self) -> DataFrame:
+        """Every order as a job of the start snapshot, for operators on a single snapshot."""
+        return self._positions("TRUE", moved=False)
+
+    @cached_property
+    def pos_all_end(self) -> DataFrame:
+        return self._positions("TRUE", moved=True)
+
+    @cached_property
+    def pos_with_cost_codes(self) -> DataFrame:
+        """A snapshot as delivered, with a column for each single cost code."""
+        codes = {f"OSO {c}": F.expr(f"total_cost - salary + {i}") for i, c in enumerate(K.OPC_CODES)}
+        return self.pos_all_end.withColumns(codes)
+
     @cached_property
     def pos_phases(self) -> dict[str, DataFrame]:
         return {
@@ -450,7 +463,7 @@ class Fixtures:
 
     @cached_property
     def all_opcs(self) -> DataFrame:
-        return self.pos_end.selectExpr(
+        return self.pos_all_end.selectExpr(
             "job_number",
             "class_id",
             "class_id % 3 AS union_code",

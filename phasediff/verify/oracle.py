@@ -45,9 +45,8 @@ TERMS: dict[str, str] = {
                          * CAST(l.l_orderkey % 3 - 1 AS DECIMAL(2,0)) END AS DECIMAL(18,2)) AS amount_end
         FROM lineitem l JOIN fx_service v ON v.service_id = l.l_suppkey
         JOIN fx_fund f ON f.k = l.l_linenumber
-        JOIN fx_object o ON o.object_id = l.l_partkey % 10
-        JOIN fx_subobject b ON b.k = CAST(l.l_orderkey % 10 AS INT)
-        WHERE (l.l_suppkey + l.l_partkey % 10) % 9 <> 0""",
+        JOIN fx_object o ON o.object_id = (l.l_partkey + CASE WHEN (l.l_suppkey + l.l_partkey % 10) % 9 = 0 THEN 2 ELSE 0 END) % 10
+        JOIN fx_subobject b ON b.k = CAST(l.l_orderkey % 10 AS INT)""",
     "fx_class": """
         SELECT * FROM (VALUES (1,'Analyst'),(2,'Engineer'),(3,'Inspector'),(4,'Manager, Senior'),
         (5,'Clerk')) AS t(class_id, class_name)""",
@@ -192,7 +191,7 @@ TERMS: dict[str, str] = {
         SELECT job_number, class_id, class_id % 3 AS union_code, agency_id AS agency,
                service_id AS program, service_id % 3 AS activity, fund_id AS fund,
                fund_id * 10 AS detailed_fund, si_id AS special_indicator, 1 AS adopted_position,
-               total_cost, total_cost - salary AS opcs FROM fx_pos_end""",
+               total_cost, total_cost - salary AS opcs FROM fx_pos_all_end""",
     # ------------------------------------------------------------ line items
     "gf": """
         SELECT agency_id, agency_name, service_id, service_name, fund_id, fund_name, object_id,
@@ -222,6 +221,7 @@ TERMS: dict[str, str] = {
         CROSS JOIN (SELECT DISTINCT object_id FROM gf WHERE object_id <> 2) o""",
     # ------------------------------------------------------------ positions
     "pos_s": "SELECT *, total_cost - salary AS opcs FROM (SELECT * REPLACE (COALESCE(agency_id, 0) AS agency_id) FROM fx_pos_start)",
+    "pos_all_e": "SELECT *, total_cost - salary AS opcs FROM (SELECT * REPLACE (COALESCE(agency_id, 0) AS agency_id) FROM fx_pos_all_end)",
     "pos_e": "SELECT *, total_cost - salary AS opcs FROM (SELECT * REPLACE (COALESCE(agency_id, 0) AS agency_id) FROM fx_pos_end)",
     "created": """
         SELECT 'create' AS change_type, e.job_number, e.agency_id, e.agency_name, e.service_id,
@@ -244,6 +244,18 @@ TERMS: dict[str, str] = {
         FROM pos_s s WHERE NOT EXISTS (SELECT 1 FROM pos_e e WHERE e.job_number = s.job_number)""",
 }
 
+def _of_all_orders(terms: dict[str, str]) -> dict[str, str]:
+    """The terms with snapshots that have every order, after those that leave some out."""
+    out = {}
+    for name, sql in terms.items():
+        out[name] = sql
+        if name in ("fx_pos_start", "fx_pos_end"):
+            out[name.replace("pos", "pos_all")] = sql.rpartition("WHERE")[0]
+    return out
+
+
+TERMS = _of_all_orders(TERMS)
+
 
 def _moved(kind: str, place: str, fund: str, single: str, multiple: str, net: str, where: str) -> str:
     return f"""
@@ -578,7 +590,7 @@ _DOUBLE = {
     "sheet": "amount note_cost",
     "agency_sheet": "amount note_cost",
     "note": "total_cost_diff",
-    "pos_e": "salary total_cost opcs",
+    "pos_all_e": "salary total_cost opcs",
     "phase_lines": "prior_actual adopted cls request",
     "svc_summary": "prior_actual adopted cls request",
     "drivers": "adopted cls request diff",
@@ -713,7 +725,7 @@ QUERIES: dict[str, str] = {
     "change_sheet": _all_of("sheet"),
     "change_sheet_by_agency": _all_of("agency_sheet"),
     "active_services": "SELECT DISTINCT agency_name, service_id FROM agency_sheet WHERE amount <> 0",
-    "position_clean": _all_of("pos_e"),
+    "position_clean": _all_of("pos_all_e"),
     "positions_created": _select_costs("created", _RAW_COSTS),
     "positions_eliminated": _select_costs("eliminated", _RAW_COSTS),
     "positions_service_in": _select_costs("service_in", _RAW_COSTS),
@@ -884,7 +896,7 @@ QUERIES: dict[str, str] = {
         SELECT service_id, STRING_AGG(object_name, '; ' ORDER BY object_name) AS objects
         FROM (SELECT DISTINCT service_id, object_name FROM fx_budget_line) d GROUP BY service_id""",
     "prim_first_per_key": """
-        SELECT service_id, job_number, class_name, CAST(salary AS DOUBLE) AS salary FROM fx_pos_end
+        SELECT service_id, job_number, class_name, CAST(salary AS DOUBLE) AS salary FROM fx_pos_all_end
         QUALIFY ROW_NUMBER() OVER (PARTITION BY service_id ORDER BY salary DESC NULLS LAST, job_number) = 1""",
     "prim_bool_or": """
         SELECT service_id, COALESCE(BOOL_OR(amount_end <> 0), FALSE) AS has_budget
@@ -895,8 +907,8 @@ QUERIES: dict[str, str] = {
         FROM fx_budget_line GROUP BY agency_name""",
     "prim_null_safe_join": """
         SELECT s.agency_name, s.start_jobs, e.end_jobs
-        FROM (SELECT agency_name, COUNT(*) AS start_jobs FROM fx_pos_start GROUP BY agency_name) s
-        LEFT JOIN (SELECT agency_name, COUNT(*) AS end_jobs FROM fx_pos_end GROUP BY agency_name) e
+        FROM (SELECT agency_name, COUNT(*) AS start_jobs FROM fx_pos_all_start GROUP BY agency_name) s
+        LEFT JOIN (SELECT agency_name, COUNT(*) AS end_jobs FROM fx_pos_all_end GROUP BY agency_name) e
           ON s.agency_name IS NOT DISTINCT FROM e.agency_name""",
     "prim_ordinal_sort": f"""
         SELECT fund_name, COUNT(*) AS lines, {_FUND_ORDER} AS fund_order
@@ -907,6 +919,67 @@ QUERIES: dict[str, str] = {
 }
 
 
+def _of_chosen_agencies(name: str) -> str:
+    """A report of all agencies as it is written for those that get one."""
+    return f"""
+        SELECT l.*, a.agency_clean, REPLACE(l.agency_name, '&', 'and') AS agency
+        FROM ({QUERIES[name]}) l JOIN (SELECT DISTINCT agency_name, agency_clean FROM chosen_agencies) a
+          ON l.agency_name = a.agency_name"""
+
+
+def _phase_sums(phases: dict[str, str]) -> str:
+    return ", ".join(f'CAST(SUM({c}) AS DOUBLE) AS "{name}"' for c, name in phases.items())
+
+
+QUERIES |= {
+    "service_allow_list_from_files": QUERIES["service_allow_list"],
+    "phase_amounts": f"""
+        SELECT agency_name, program_id AS service_id, fund_name,
+               {_phase_sums({"tls_request": "FY23 TLS", "current_adopted": "FY22 Adopted"})},
+               CAST(COALESCE(SUM(tls_request), 0) - COALESCE(SUM(current_adopted), 0) AS DOUBLE) AS change
+        FROM fx_line_detail GROUP BY agency_name, program_id, fund_name""",
+    "phase_job_counts": """
+        SELECT agency_name, service_id, fund_name, NULLIF(COUNT(*) FILTER (WHERE phase = 'prior'), 0) AS prior,
+               COUNT(*) FILTER (WHERE phase = 'planning') AS planning
+        FROM fx_pos_phase GROUP BY agency_name, service_id, fund_name
+        HAVING COUNT(*) FILTER (WHERE phase = 'planning') > 0""",
+    "phase_sequence_amounts": f"""
+        SELECT fund_name, {_phase_sums({"cls_request": "FY23 CLS", "proposal1": "FY23 Proposal", "tls_request": "FY23 TLS"})}
+        FROM fx_line_detail GROUP BY fund_name""",
+    "export_change_sheets_by_service": QUERIES["export_change_sheets"],
+    "export_full_change_sheet": QUERIES["change_sheet_by_agency"],
+    "export_budget_tables": _of_chosen_agencies("service_budget_table"),
+    "export_dollars_by_service": _of_chosen_agencies("agency_dollars_by_service"),
+    "export_positions_by_service": _of_chosen_agencies("agency_positions_by_service"),
+    "export_dollars_by_fund": _of_chosen_agencies("agency_dollars_by_fund"),
+    "export_savings_ideas": _all_of("save_entries"),
+    "line_summary_by_phase": f"""
+        SELECT 'CLS' AS phase, * FROM ({QUERIES["line_summary"]}) c WHERE "Agency ID" <= 20
+        UNION ALL
+        SELECT 'TLS' AS phase, * REPLACE ({", ".join(f'"{n}" * 2 AS "{n}"' for n in [*K.SUMMARY_FUNDS.values(), "Total"])})
+        FROM ({QUERIES["line_summary"]}) t WHERE "Agency ID" <= 20""",
+    "expenditure_by_bound_table": QUERIES["expenditure_by_agency_fund"],
+    "sheet_keys_from_files": """
+        SELECT agency, service_id, COUNT(*) AS sheet_rows FROM keyed GROUP BY agency, service_id""",
+    "sheet_rejects": """
+        SELECT CONCAT('FY24 Change Table ', agency_name, '.xlsx') AS file_name, 'Agency Summary' AS sheet,
+               'tab without a service number' AS reject, COUNT(*) AS skipped_rows FROM fx_service GROUP BY agency_name
+        UNION ALL
+        SELECT CONCAT('~$FY24 Change Table ', agency_name, '.xlsx'), s.sheet, 'lock file', COUNT(*)
+        FROM fx_sheet_row s JOIN fx_service v ON s.file_path = CONCAT('/in/FY24 Change Table ', v.agency_name, '.xlsx')
+         AND s.sheet = CASE WHEN v.service_id > 99 THEN CAST(v.service_id AS VARCHAR) ELSE LPAD(CAST(v.service_id AS VARCHAR), 3, '0') END
+        WHERE v.service_id % 10 = 3 GROUP BY agency_name, s.sheet
+        UNION ALL
+        SELECT CONCAT('Notes ', agency_name, '.xlsx'), s.sheet, 'not a sheet file', COUNT(*)
+        FROM fx_sheet_row s JOIN fx_service v ON s.file_path = CONCAT('/in/FY24 Change Table ', v.agency_name, '.xlsx')
+         AND s.sheet = CASE WHEN v.service_id > 99 THEN CAST(v.service_id AS VARCHAR) ELSE LPAD(CAST(v.service_id AS VARCHAR), 3, '0') END
+        WHERE v.service_id % 10 = 4 GROUP BY agency_name, s.sheet""",
+    "snapshot_with_clashing_headers": """
+        SELECT job_number, agency_id, UPPER(class_name) AS class_name, CAST(total_cost AS DOUBLE) AS total_cost
+        FROM fx_pos_all_end""",
+}
+
+
 def with_terms(statement: str) -> str:
     """Prefix a statement with the terms it uses, directly or through other terms."""
     needed: set[str] = set()

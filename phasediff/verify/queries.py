@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,10 +21,11 @@ from phasediff.plans import (
     lines,
     narrative,
     notes,
+    phases,
     positions,
     service,
 )
-from phasediff.sources import sinks
+from phasediff.sources import files, jdbc, sinks
 from phasediff.verify.fixtures import Fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,7 +165,7 @@ def _moves(fx: Fixtures) -> DataFrame:
 
 @query
 def position_clean(fx):
-    return positions.position_clean(fx.pos_end)
+    return positions.position_clean(fx.pos_with_cost_codes)
 
 
 @query
@@ -497,6 +500,166 @@ def export_technical_adjustments(fx):
     return fx.spark.read.schema(entries.schema).parquet(sinks.write_table(entries, path))
 
 
+@query
+def export_change_sheets_by_service(fx):
+    """A folder per agency and service; one agency is then written again and the others stay."""
+    path = scratch_path(fx.spark, "change_sheets_by_service")
+    sheet = materialize(_sheet(fx), "change_sheet")
+    sinks.export_change_sheets(sheet, fx.assignment, path, by_service=True)
+    again = sheet.filter(F.col("agency_name") == sheet.agg(F.min("agency_name")).scalar())
+    sinks.export_change_sheets(again, fx.assignment, path, by_service=True)
+    return fx.spark.read.parquet(path)
+
+
+@query
+def export_full_change_sheet(fx):
+    sheet = _sheet(fx)
+    name = sinks.export_name("full", "OSO Changes", "FY23 Adopted", "FY24 CLS", dt.date(2024, 1, 2))
+    path = sinks.write_table(sheet, scratch_path(fx.spark, name.replace("/", "-")))
+    return fx.spark.read.schema(sheet.schema).parquet(path)
+
+
+def _service_report(fx: Fixtures, name: str) -> DataFrame:
+    path = scratch_path(fx.spark, name)
+    summary = materialize(_summary(fx), "service_summary")
+    written = sinks.export_service_tables(summary, _drivers(fx), fx.assignment, path, only=(name,))
+    return fx.spark.read.parquet(written[name])
+
+
+@query
+def export_budget_tables(fx):
+    return _service_report(fx, "budget_table")
+
+
+@query
+def export_dollars_by_service(fx):
+    return _service_report(fx, "dollars_by_service")
+
+
+@query
+def export_positions_by_service(fx):
+    return _service_report(fx, "positions_by_service")
+
+
+@query
+def export_dollars_by_fund(fx):
+    return _service_report(fx, "dollars_by_fund")
+
+
+@query
+def export_savings_ideas(fx):
+    path = scratch_path(fx.spark, "savings_ideas")
+    entries = harvest.savings_ideas(harvest.savings_block(fx.sheet_row))
+    return fx.spark.read.schema(entries.schema).parquet(sinks.write_table(entries, path))
+
+
+# ---------------------------------------------------------------- sources, written and read back
+
+
+@query
+def service_allow_list_from_files(fx):
+    """The newest appropriation file of several; the newest of all is a lock file."""
+    folder = scratch_path(fx.spark, "appropriations")
+    lines_ = fx.budget_line.select("agency_name", "service_id").distinct()
+    files_ = {
+        "FY23 Appropriation.xlsx": lines_.filter("service_id % 2 = 0"),
+        "FY24 Appropriation.xlsx": lines_,
+        "FY24 Other.xlsx": lines_.limit(1),
+        "~FY25 Appropriation.xlsx": lines_.limit(1),
+    }
+    for name, df in files_.items():
+        df.write.parquet(f"{folder}/{name}")
+    newest = files.read_latest(fx.spark, folder, r"^[^~]*Appropriation.*\.xlsx$", lines_.schema)
+    return lines.service_allow_list(newest)
+
+
+def _stored_fact(fx: Fixtures) -> DataFrame:
+    keys = ["agency_name", "program_id", "fund_name"]
+    fact = phases.long_fact(fx.line_item_detail, keys, finance.LINE_PHASES)
+    path = sinks.write_versions(fact, scratch_path(fx.spark, "line_versions"))
+    return files.read_versions(fx.spark, path).withColumnRenamed("program_id", "service_id")
+
+
+@query
+def phase_amounts(fx):
+    """Two of the five phases of a stored fact, in any order; only their folders are read."""
+    keys, chosen = ["agency_name", "service_id", "fund_name"], ["FY23 TLS", "FY22 Adopted"]
+    table = phases.by_phase(_stored_fact(fx), keys, chosen, F.sum("amount"))
+    return phases.phase_change(table, "FY22 Adopted", "FY23 TLS")
+
+
+@query
+def phase_job_counts(fx):
+    keys = ["agency_name", "service_id", "fund_name"]
+    fact = phases.stacked_snapshots(fx.pos_phases, keys)
+    stored = files.read_versions(fx.spark, sinks.write_versions(fact, scratch_path(fx.spark, "job_versions")))
+    return phases.by_phase(stored, keys, ["prior", "planning"], F.count(F.lit(1)), base="planning")
+
+
+@query
+def phase_sequence_amounts(fx):
+    """All phases from one to another of a fiscal year."""
+    chosen = notes.phase_sequence((23, "CLS"), (23, "TLS"))
+    return phases.by_phase(_stored_fact(fx), ["fund_name"], chosen, F.sum("amount"))
+
+
+@query
+def line_summary_by_phase(fx):
+    """Two phase tables by name and one bound value, then the extract for each."""
+    stem = f"line_item_summary_{uuid.uuid4().hex}"
+    table = materialize(fx.line_item_summary, "line_item_summary")
+    doubled = table.withColumns({f"fund_{i}": F.col(f"fund_{i}") * 2 for i in K.SUMMARY_FUNDS})
+    table.createOrReplaceTempView(f"{stem}_CLS")
+    doubled.createOrReplaceTempView(f"{stem}_TLS")
+    both = jdbc.phase_tables(fx.spark, stem, ["CLS", "TLS"], "agency_id <= :most", most=20)
+    parts = [finance.line_summary(both.filter(F.col("phase") == p)).withColumn("phase", F.lit(p)) for p in ("CLS", "TLS")]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def expenditure_by_bound_table(fx):
+    name = f"line_item_report_{uuid.uuid4().hex}"
+    fx.line_item_detail.createOrReplaceTempView(name)
+    return finance.expenditure_by_agency_fund(jdbc.bound_table(fx.spark, name))
+
+
+def _stored_sheets(fx: Fixtures) -> DataFrame:
+    """The sheets as files, among them lock files and files of other kinds, read in one scan."""
+    path = scratch_path(fx.spark, "sheets")
+    name = F.element_at(F.split("file_path", "/"), -1)
+    service_no = F.regexp_extract("sheet", r"(\d{3,})", 1).try_cast("bigint") % 10
+    extra = F.when(service_no == 3, F.concat(F.lit("~$"), name)).when(
+        service_no == 4, F.replace(name, F.lit("FY24 Change Table"), F.lit("Notes"))
+    )
+    books = fx.sheet_row.withColumn("book", F.explode(F.array_compact(F.array(name, extra)))).drop("file_path")
+    books.write.partitionBy("book").parquet(path)
+    schema = fx.sheet_row.drop("file_path").schema
+    return files.classified_sheets(files.read_many(fx.spark, path, "*", schema, "parquet"))
+
+
+@query
+def sheet_keys_from_files(fx):
+    kept = _stored_sheets(fx).filter(F.col("reject").isNull())
+    return kept.groupBy("agency", "service_id").agg(F.count(F.lit(1)).alias("sheet_rows"))
+
+
+@query
+def sheet_rejects(fx):
+    return files.sheet_rejects(_stored_sheets(fx))
+
+
+@query
+def snapshot_with_clashing_headers(fx):
+    """A stored snapshot in which two headers differ only by case; the first of them counts."""
+    own = files.case_sensitive(fx.spark)
+    given = fx.pos_all_end.selectExpr("job_number", "agency_id", "upper(class_name) AS u", "class_name", "total_cost")
+    path = scratch_path(fx.spark, "clashing")
+    plain_table = materialize(given, "positions")
+    headers = ("JOB NUMBER", "AGENCY ID", "CLASSIFICATION NAME", "Classification Name", "Total Cost")
+    own.read.schema(plain_table.schema).parquet(plain_table.inputFiles()[0].rpartition("/")[0]).toDF(*headers).write.parquet(path)
+    return files.read_snapshot(fx.spark, path, duplicates=("class_name",))
+
+
 # ---------------------------------------------------------------- primitives
 
 
@@ -546,7 +709,7 @@ def prim_first_per_key(fx):
     """The best-paid job of each service: the row number is cut off before the shuffle."""
     best = Window.partitionBy("service_id").orderBy(F.desc_nulls_last("salary"), "job_number")
     return (
-        fx.pos_end.select("service_id", "job_number", "class_name", "salary")
+        fx.pos_all_end.select("service_id", "job_number", "class_name", "salary")
         .withColumn("_n", F.row_number().over(best))
         .filter("_n = 1")
         .drop("_n")
@@ -575,7 +738,7 @@ def prim_null_safe_join(fx):
     def per_agency(df, name):
         return df.groupBy("agency_name").agg(F.count(F.lit(1)).alias(name))
 
-    start, end = per_agency(fx.pos_start, "start_jobs"), per_agency(fx.pos_end, "end_jobs")
+    start, end = per_agency(fx.pos_all_start, "start_jobs"), per_agency(fx.pos_all_end, "end_jobs")
     return null_safe_join(start, end, ["agency_name"])
 
 

@@ -53,12 +53,15 @@ def test_control_figures(fx):
         "CAST(sum(amount_start) AS STRING) AS ss",
         "CAST(sum(amount_end) AS STRING) AS se",
     ).first()
-    assert tuple(row) == (5275, 4987, 5032, "236985664.21", "238859838.69")
+    assert tuple(row) == (6000, 5669, 5727, "269170490.47", "271340688.16")
     assert fx.pos_start.count() == fx.pos_end.count() == 1350
+    assert fx.pos_all_start.count() == fx.pos_all_end.count() == 1500
+    pairs = fx.budget_line.select("service_id", "object_id").distinct()
+    assert pairs.count() < 10 * pairs.select("service_id").distinct().count()
     counts = [df.count() for df in fx.pos_phases.values()]
     assert counts == [1350, 1320, 1350, 1290]
     assert fx.sheet_row.count() == 130
-    assert fx.cur_expend.count() == 3252
+    assert fx.cur_expend.count() == 3421
 
 
 def test_change_counts(spark, fx):

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from phasediff.plans import lines, positions
+from phasediff.plans import lines, phases, positions
+from phasediff.sources import files, sinks
 
 
 def plan_of(df):
@@ -37,6 +38,24 @@ def test_one_shuffle_per_side_for_all_changes(spark, fx, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
+def test_only_the_folders_of_asked_phases_are_read(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id % 10 AS service_id", "1.5 AS a", "2.5 AS b", "IF(id < 10, 1, NULL) AS c")
+    fact = phases.long_fact(df, ["service_id"], {"a": "FY23 CLS", "b": "FY23 TLS", "c": "FY23 BoE"})
+    path = sinks.write_versions(fact, str(tmp_path / "fact"))
+    stored = files.read_versions(spark, path)
+    table = phases.by_phase(stored, ["service_id"], ["FY23 TLS", "FY23 CLS"], F.sum("amount"))
+    plan = plan_of(table)
+    assert "FY23 TLS" in plan.split("PartitionFilters")[1].split("]")[0] and "partial_" in plan
+    assert table.columns == ["service_id", "FY23 TLS", "FY23 CLS"]
+    row = phases.phase_change(table, "FY23 CLS", "FY23 TLS").filter("service_id = 3").first()
+    assert (row["FY23 TLS"], row["FY23 CLS"], row.change) == (250, 150, 100)
+    sinks.write_versions(fact.filter("phase = 'FY23 CLS'").limit(1), path)
+    counts = dict(files.read_versions(spark, path).groupBy("phase").count().collect())
+    assert counts == {"FY23 CLS": 1, "FY23 TLS": 1000, "FY23 BoE": 1000}
+    only = phases.by_phase(stored.filter("amount IS NOT NULL"), ["service_id"], ["FY23 BoE"], F.count(F.lit(1)), base="FY23 BoE")
+    assert only.count() == 10
+
+
 def test_hot_service_meets_the_reducer_pre_aggregated(spark):
     """A third of all lines in one service: each map task sends one row of it."""
     hot = spark.range(3000, numPartitions=6).select(

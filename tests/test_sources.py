@@ -49,6 +49,66 @@ def test_latest_file_skips_lock_files(spark, tmp_path):
     assert row.path.endswith("Appropriation 2.xlsx") and row.modificationTime.year == 2023
 
 
+def test_newest_table_is_read_alone(spark, tmp_path):
+    folder = str(tmp_path)
+    for n, name in enumerate(("FY22 Appropriation.xlsx", "FY23 Appropriation.xlsx", "~FY24 Appropriation.xlsx", "FY24 Other.xlsx")):
+        spark.range(3).selectExpr(f"id + {n} AS service_id").coalesce(1).write.parquet(f"{folder}/{name}")
+    df = files.read_latest(spark, folder, r"^[^~]*Appropriation.*\.xlsx$", "service_id long")
+    assert {f.split("/")[-2].replace("%20", " ") for f in df.inputFiles()} == {"FY23 Appropriation.xlsx"}
+    assert sorted(r.service_id for r in df.collect()) == [1, 2, 3]
+    with pytest.raises(FileNotFoundError, match="nothing"):
+        files.read_latest(spark, folder, "^Budget", "service_id long")
+
+
+def test_parquet_headers_that_differ_by_case(spark, tmp_path):
+    path, own = str(tmp_path / "clash"), files.case_sensitive(spark)
+    own.range(4).selectExpr("id AS `JOB NUMBER`", "'OLD' AS `CLASSIFICATION NAME`", "'Clerk' AS `Classification Name`").write.parquet(path)
+    with pytest.raises(ValueError, match="class_name"):
+        files.read_snapshot(spark, path)
+    df = files.read_snapshot(spark, path, duplicates=("class_name",))
+    assert df.columns == ["job_number", "class_name"]
+    assert df.filter("CLASS_NAME = 'OLD' AND job_number > 1").count() == 2
+    assert df.join(spark.range(2).withColumnRenamed("id", "job_number"), "job_number").count() == 2
+    assert spark.conf.get("spark.sql.caseSensitive") == "false"
+
+
+def test_names_are_bound_and_not_put_into_the_statement(spark):
+    for phase, n in (("CLS", 3), ("TLS", 5)):
+        spark.range(n).createOrReplaceTempView(f"bound_summary_{phase}")
+    df = jdbc.phase_tables(spark, "bound_summary", ["CLS", "TLS"], "id > :least", least=1)
+    assert sorted((r.phase, r.id) for r in df.collect()) == [("CLS", 2), ("TLS", 2), ("TLS", 3), ("TLS", 4)]
+    for hostile in ("bound_summary_CLS; DROP VIEW bound_summary_CLS", "bound_summary_CLS WHERE 1 = 1 --", "(SELECT 1)"):
+        with pytest.raises(Exception, match="PARSE_SYNTAX_ERROR"):
+            jdbc.bound_table(spark, hostile).collect()
+    assert jdbc.bound_table(spark, "bound_summary_CLS", "CAST(id AS STRING) = :x", x="1' OR '1' = '1").count() == 0
+
+
+def test_rejected_files_and_tabs_are_counted(spark):
+    rows = spark.createDataFrame(
+        [
+            ("/in/FY24 Change Table Parks.xlsx", "012"),
+            ("/in/FY24 Change Table Parks.xlsx", "Summary"),
+            ("/in/FY24 Change Table Parks.xlsx", None),
+            ("/in/~$FY24 Change Table Parks.xlsx", "012"),
+            ("/in/book=FY24 Change Table Police.xlsx/part-0.parquet", "7345"),
+            ("/in/Other.txt", "012"),
+            ("/in/Other.txt", "012"),
+        ],
+        "file_path string, sheet string",
+    )
+    found = sorted(map(tuple, files.sheet_rejects(files.classified_sheets(rows)).collect()), key=str)
+    assert found == sorted(
+        [
+            ("FY24 Change Table Parks.xlsx", "Summary", files.OTHER_TAB, 1),
+            ("FY24 Change Table Parks.xlsx", None, files.OTHER_TAB, 1),
+            ("~$FY24 Change Table Parks.xlsx", "012", files.LOCK_FILE, 1),
+            ("Other.txt", "012", files.OTHER_FILE, 2),
+        ],
+        key=str,
+    )
+    assert sorted((r.agency, r.service_id) for r in files.sheet_keys(rows).collect()) == [("Parks", "012"), ("Police", "7345")]
+
+
 def test_many_files_below_a_folder_carry_their_path(spark, tmp_path):
     for folder, name in (("a", "FY24 Change Table Parks.csv"), ("b", "FY24 Change Table Police.csv"), ("b", "Other.csv")):
         (tmp_path / folder).mkdir(exist_ok=True)
@@ -92,6 +152,21 @@ def test_folders_are_ordered_and_split(spark, tmp_path):
     assert spark.read.parquet(path).agg(F.sum("v")).first()[0] == sum(range(4000))
 
 
+def test_rerun_of_one_agency_leaves_the_others(spark, tmp_path):
+    path = str(tmp_path / "out")
+    df = spark.range(90).selectExpr("concat('a', id % 3) AS agency", "id AS v")
+    sinks.write_by(df, path, ["agency"], ["v"])
+    sinks.write_by(df.filter("agency = 'a1'").withColumn("v", F.col("v") + 1000), path, ["agency"], ["v"])
+    found = {r.agency: (r.n, r.top) for r in spark.read.parquet(path).groupBy("agency").agg(F.count("v").alias("n"), F.max("v").alias("top")).collect()}
+    assert found == {"a0": (30, 87), "a1": (30, 1088), "a2": (30, 89)}
+    broken = df.filter("agency = 'a2'").withColumn("v", F.expr("IF(v = 89, CAST(raise_error('broken') AS BIGINT), 0)"))
+    with pytest.raises(Exception, match="broken"):
+        sinks.write_by(broken, path, ["agency"], ["v"])
+    assert spark.read.parquet(path).filter("agency = 'a2'").count() == 30
+    sinks.write_by(df.filter("agency = 'a0'"), path, ["agency"], ["v"], whole=True)
+    assert spark.read.parquet(path).count() == 30
+
+
 def test_service_tables_are_written_for_chosen_agencies(spark, fx, tmp_path):
     items = service.phase_line_items(fx.expend_cls, fx.expend_prop)
     summary = service.service_summary(items, service.phase_position_counts(**fx.pos_phases))
