@@ -24,6 +24,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def repeatable(df: DataFrame) -> DataFrame:
+    """df where every scan of it gives its rows in the same tasks and order, otherwise a stored copy.
+
+    Row numbers are taken again for each scan. Files are read the same way each time; behind a shuffle, the
+    columns that a plan needs can change which row comes first.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    moved = ("Exchange", "MapInArrow", "MapInPandas", "ArrowEvalPython", "BatchEvalPython", "Sample", "Limit", "Join", "Aggregate")
+    return written(df, "documents") if any(name in plan for name in moved) else df
+
+
 def dropped(df: DataFrame) -> None:
     """Removes a table of written() that no later plan reads; a folder that holds anything else stays."""
     spark = df.sparkSession

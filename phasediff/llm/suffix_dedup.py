@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phasediff.llm.lm_score import Filter, built, parts_of
-from phasediff.llm.store import dropped, written
+from phasediff.llm.store import dropped, repeatable, written
 from phasediff.llm.text import _BACK, _BASE, _VALUE, mixed, slices
 
 LENGTH = 100
@@ -380,6 +380,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     then an earlier start. Null texts are empty; texts of under LENGTH bytes stay whole.
     """
     spark = docs.sparkSession
+    docs = repeatable(docs.select("doc_id", "text"))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text"))
     tasks = max(1, rows.rdd.getNumPartitions())
     bits = min(12, max(2, (tasks - 1).bit_length()))

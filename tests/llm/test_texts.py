@@ -71,6 +71,30 @@ def test_join_of_documents(spark, docs):
     assert sorted(found) == sorted(brute.components(rows, 3, 90))
 
 
+def test_parity_maps_rule_no_link_out():
+    """The difference of two maps is a lower bound of the difference of the sets, whatever their sizes."""
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 60, 700, 4000):
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.93], rng.integers(0, 2**63, n // 15 + 1, dtype=np.uint64)]))
+        differ = sum(int(x ^ y).bit_count() for x, y in zip(*(ngram_join.parity_map(s).view(np.uint64) for s in (a, b))))
+        assert differ <= len(np.setxor1d(a, b))
+
+
+def test_rows_behind_a_shuffle_keep_their_results(spark, docs):
+    """The same rows, once from a file and once from a frame that a round-robin shuffle orders anew for each scan."""
+    moved = docs.repartition(7)
+
+    def plain(df):
+        return sorted(map(str, df.collect()))
+
+    found = [plain(ngram_join.ngram_join(df).select("doc_id", "n_shingles", "component_id")) for df in (docs, moved)]
+    assert found[0] == found[1]
+    assert removed(docs) and sorted(removed(docs)) == sorted(removed(moved))
+    counted = [plain(lm_score.lm_scores(df).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6))) for df in (docs, moved)]
+    assert counted[0] == counted[1]
+
+
 def test_suffix_array():
     rng = random.Random(2)
     for size in [0, 1, 2, 3, 4, 5, *(rng.randrange(6, 70) for _ in range(150))]:
