@@ -130,7 +130,9 @@ TERMS: dict[str, str] = {
          (11,NULL,NULL,NULL,'Total',NULL,NULL,NULL),
          (12,NULL,NULL,NULL,'Tollgate Notes',NULL,NULL,NULL),
          (99,'Adjustments','NUM',NULL,'x',NULL,NULL,NULL))
-         AS t(row_no, change_label, c12, c13, rec, c16, c17, c18)) r""",
+         AS t(row_no, change_label, c12, c13, rec, c16, c17, c18)) r
+        WHERE NOT (r.row_no = 2 AND v.service_id % 13 = 4) AND NOT (r.row_no = 7 AND v.service_id % 11 = 5)
+          AND NOT (r.row_no = 11 AND v.service_id % 5 = 2) AND NOT (r.row_no = 4 AND v.service_id % 7 = 3)""",
     "fx_note_row": """
         SELECT CONCAT('/notes/Change Table_', agency_name, '.xlsx') AS file_path,
                CASE WHEN service_id > 99 THEN CAST(service_id AS VARCHAR)

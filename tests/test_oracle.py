@@ -60,7 +60,7 @@ def test_control_figures(fx):
     assert pairs.count() < 10 * pairs.select("service_id").distinct().count()
     counts = [df.count() for df in fx.pos_phases.values()]
     assert counts == [1350, 1320, 1350, 1290]
-    assert fx.sheet_row.count() == 130
+    assert fx.sheet_row.count() == 125
     assert fx.cur_expend.count() == 3421
 
 
