@@ -27,7 +27,8 @@ def none(spark):
 @pytest.mark.parametrize("name", ORACLES)
 def test_query_equals_oracle(spark, name):
     con = oracle_connection(DATA)
-    con.execute(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM read_parquet('{DATA}/documents.parquet')")
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM read_parquet('{DATA}/{table}.parquet')")
     assert differences(registered()[name](spark, DATA), con, ORACLES[name]) == []
 
 
