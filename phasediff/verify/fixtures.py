@@ -292,6 +292,15 @@ class Fixtures:
 
     @cached_property
     def sheet_row(self) -> DataFrame:
+        """Sheets of which some lack rows, for the operators that find blocks in them."""
+        return self._sheet_rows(f"NOT ({' OR '.join(SHEET_GAPS)})")
+
+    @cached_property
+    def whole_sheet_row(self) -> DataFrame:
+        """Every row of every sheet."""
+        return self._sheet_rows("TRUE")
+
+    def _sheet_rows(self, kept: str) -> DataFrame:
         names = ("row_no", "change_label", "c12", "c13", "rec", "c16", "c17", "c18")
 
         def cell(name: str, value) -> str:
@@ -303,7 +312,7 @@ class Fixtures:
             for row in SHEET_ROWS
         ]
         rows = self.service.selectExpr("*", f"inline(array({', '.join(structs)}))")
-        return rows.filter(f"NOT ({' OR '.join(SHEET_GAPS)})").selectExpr(
+        return rows.filter(kept).selectExpr(
             "concat('/in/FY24 Change Table ', agency_name, '.xlsx') AS file_path",
             f"IF(row_no = 99, 'Agency Summary', {_tab()}) AS sheet",
             "row_no",

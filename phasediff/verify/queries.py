@@ -333,7 +333,7 @@ def _ladder_rows(fx: Fixtures) -> DataFrame:
 
 @query
 def sheet_keys(fx):
-    return harvest.sheet_keys(fx.sheet_row)
+    return harvest.sheet_keys(fx.whole_sheet_row)
 
 
 @query

@@ -91,3 +91,10 @@ def test_entry_runs(spark):
     checked = contract.corpus.CHECKED_BY_TESTS if contract.corpus else ()
     assert without == {*checked}
     assert os.path.isdir(DATA)
+
+
+def test_sheet_keys_reads_every_row_of_every_sheet(spark, con, fx):
+    """Twelve rows of each service; the thirteenth stands on a tab without a service."""
+    services = fx.service.count()
+    assert QUERIES["sheet_keys"](spark, DATA).count() == 12 * services
+    assert len(con.execute(ORACLES["sheet_keys"]).fetchall()) == 12 * services
