@@ -8,9 +8,10 @@ documents are scored once for each and every position counts in the segment of i
 
 log10 p(w | h) with k = BACKING, c1 and c2 the counts read back for h and hw, s(h) = SHARE * c1 / (c1 + k):
 a pair in the filter has s(h) * c2 / c1 + (1 - s(h)) * p(w), all others have (1 - s(h)) * p(w), where p(w) is
-the exact (c(w) + 1) / (N + V + 1). c1 and c2 are at most the exact counts of h and w where these are known, so
-a pair counts only if its words do. Exact counts of the FREQUENT most frequent words are broadcast; those of
-all other words reach the documents by a join, for w but not for h: the count of a rarer h is that of the filter.
+the exact (c(w) + 1) / (N + V + 1). c1 and c2 are at most the exact counts of h and w, so a pair counts only if
+its words do. Exact counts of the TABLE most frequent words are broadcast; those of all other words reach the
+documents by joins, for w and for every h that the filter knows. A score depends neither on TABLE nor on the
+number of tasks or segments: the filter has the same parts for any input.
 """
 
 from __future__ import annotations
@@ -26,7 +27,14 @@ from phasediff.llm.quality_classifier import held_out
 from phasediff.llm.store import dropped, repeatable, written
 from phasediff.llm.text import LOWER, NOT_SPACE, bounds, hashes, mixed, slices
 
-FREQUENT = 1_000_000
+#: Words whose exact counts are broadcast (16 bytes each). It divides the work; the scores are the same.
+TABLE = 1_000_000
+#: Words whose exact count bounds that of a context: all of them. A smaller number is another, coarser model.
+FREQUENT = 1 << 62
+#: The filter has _SPLITS << PART_BITS parts.
+PART_BITS = 8
+#: Tokens whose words and pairs a task holds before it counts them.
+HELD_TOKENS = 1_500_000
 SEGMENT_BYTES = 96 << 20
 STEP_BYTES = 16 << 20
 SHARE = 0.8
@@ -111,7 +119,7 @@ def _counted(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Record
             # a text begins after a context of its own
             held[1].append(np.full(len(offsets) - 1, START))
             many += len(words)
-            if many > 4_000_000:
+            if many > HELD_TOKENS:
                 yield from packed()
                 many = 0
     if many:
@@ -241,15 +249,20 @@ def _looked_up(keys: np.ndarray, table: np.ndarray, values: np.ndarray) -> np.nd
     return np.where(table[at] == keys, values[at], 0)
 
 
-def _scored(batches, part_filter: Filter, here: range, words_of: np.ndarray, counts_of: np.ndarray, total: int, vocabulary: int):
+def _scored(
+    batches, part_filter: Filter, here: range, words_of: np.ndarray, counts_of: np.ndarray, total: int, vocabulary: int, least: int = 1
+):
     """Of each row: tokens, and for words of the broadcast table known tokens, base and model scores of the
     positions of this segment; other words with their places and the places that back off to them, and apart
-    from these (times and backed 0) with c1 and c2 of each place whose pair is in the filter."""
+    from these (times and backed 0) with c1 and c2 of each place whose pair is in the filter. A place whose
+    context is in the filter but not in the table waits for the count of both: its context is in heads, and
+    counts has that of its word where the table has it. Contexts of fewer than least are not bounded."""
     schema = pa.schema(
         [("row", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())]
-        + [("keys", pa.list_(pa.int64())), ("times", pa.list_(pa.int64())), ("backed", pa.list_(pa.float64()))]
-        + [("c1", pa.list_(pa.float64())), ("c2", pa.list_(pa.float64()))]
+        + [(name, pa.list_(pa.int64())) for name in ("keys", "heads", "counts", "times")]
+        + [(name, pa.list_(pa.float64())) for name in ("backed", "c1", "c2")]
     )
+    complete = len(words_of) == vocabulary
     all_of = total + vocabulary + 1
     for batch in batches:
         for first, last, words, offsets in tokens(batch.column(1)):
@@ -268,21 +281,20 @@ def _scored(batches, part_filter: Filter, here: range, words_of: np.ndarray, cou
             known = count > 0
             # the exact count of the word before; a text's start is in the filter only
             exact = np.where(before == START, 0, np.append(0, count[:-1]))
-            if len(words_of) == vocabulary:
-                c1 = np.where(before == START, c1, np.minimum(c1, exact))
-            else:
-                c1 = np.where(exact > 0, np.minimum(c1, exact), c1)
+            # a complete table tells that a word outside has the count 0, as the join would
+            told = (before != START) & (complete | (exact > 0))
+            c1 = np.where(told & (exact >= (0 if least == 1 else least)), np.minimum(c1, exact), c1)
             c2 = np.where(pair > 0, np.minimum(_LEVELS[np.maximum(pair, 1) - 1], c1), 0.0)
-            c2 = np.where(known, np.minimum(c2, count), c2)
-            if len(words_of) == vocabulary:
-                c2 = np.where(known, c2, 0.0)
+            c2 = np.where(known | complete, np.minimum(c2, count), c2)
             share = SHARE * c1 / (c1 + BACKING)
             found = share * c2 / np.maximum(c1, 1)
-            direct = mine & known
+            open_ = mine & ~told & (before != START) & (c1 > 0)
+            settled = mine & ~open_
+            direct = settled & known
             score = np.where(direct, np.log10(found + (1 - share) * (count + 1) / all_of), 0.0)
             # pairs of words outside the table wait for the word's count as well
-            paired = np.flatnonzero(mine & ~known & (c2 > 0))
-            waiting = mine & ~known & (c2 == 0)
+            paired = np.flatnonzero(settled & ~known & (c2 > 0))
+            waiting = settled & ~known & (c2 == 0)
             score += np.where(waiting, np.log10(1 - share), 0.0)
             base = np.where(mine & known, np.log10((count + 1) / all_of), 0.0)
             sums = [np.bincount(row, w, rows) for w in (mine, mine & known, base, score)]
@@ -293,19 +305,34 @@ def _scored(batches, part_filter: Filter, here: range, words_of: np.ndarray, cou
             at = np.flatnonzero(new)
             times = np.diff(np.append(at, len(order)))
             backed = np.add.reduceat(waiting[order].astype(float), at) if len(at) else np.zeros(0)
-            none = np.zeros(len(at))
-            items = row[order[at]], words[order[at]].view(np.int64), times, backed, none, none
-            if len(paired):
-                zeros = np.zeros(len(paired), np.int64)
-                more = row[paired], words[paired].view(np.int64), zeros, zeros, c1[paired], c2[paired]
-                items = [np.concatenate(both) for both in zip(items, more)]
-                by_row = np.argsort(items[0], kind="stable")
-                items = [v[by_row] for v in items]
+            later = np.flatnonzero(open_)
+            places = np.concatenate([paired, later])
+            none, zeros = np.zeros(len(at)), np.zeros(len(places), np.int64)
+            is_later = np.arange(len(places)) >= len(paired)
+            # a place whose word needs no join has its context as key: any spread of keys will do
+            key = np.where(known[places], before[places], words[places])
+            items = [
+                np.concatenate([row[order[at]], row[places]]),
+                np.concatenate([words[order[at]], key]).view(np.int64),
+                np.concatenate([words[order[at]], before[places]]).view(np.int64),
+                np.concatenate([np.zeros(len(at), np.int64), count[places]]),
+                np.concatenate([times, zeros]),
+                np.concatenate([backed, zeros]),
+                np.concatenate([none, c1[places]]),
+                np.concatenate([none, c2[places]]),
+                np.concatenate([np.zeros(len(at), bool), is_later]),
+            ]
+            by_row = np.argsort(items[0], kind="stable")
+            items = [v[by_row] for v in items]
+            is_later = items.pop()
             lists = np.searchsorted(items[0], np.arange(rows + 1)).astype(np.int32)
+            values = [pa.array(v) for v in items[1:]]
+            values[1] = pa.array(items[2], mask=~is_later)
+            values[2] = pa.array(items[3], mask=items[3] == 0)
             columns = [
                 batch.column(0).slice(first, rows), pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)),
                 pa.array(sums[2]), pa.array(sums[3]),
-                *(pa.ListArray.from_arrays(lists, pa.array(v)) for v in items[1:]),
+                *(pa.ListArray.from_arrays(lists, v) for v in values),
             ]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
@@ -337,8 +364,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
         held_out(F.col("doc_id"), 7, 2).alias("held_out"),
         "text",
     )
-    tasks = max(1, rows.rdd.getNumPartitions())
-    bits = min(12, max(2, (tasks - 1).bit_length()))
+    bits = PART_BITS
     counted = rows.filter("not held_out").select("text").mapInArrow(
         lambda b: _counted(b, bits), "part int, size int, keys binary, counts binary, large binary"
     )
@@ -357,10 +383,11 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     counts = written(parts.select("keys", "counts").mapInArrow(unpacked, "key long, count long"), "words")
     sums = counts.agg(F.sum("count").alias("n"), F.count("*").alias("v")).first()
     total, vocabulary = int(sums.n or 0), int(sums.v)
-    # counts above the limit have fewer than FREQUENT words, whatever the vocabulary
+    # counts from the limit on have TABLE words at most, whatever the vocabulary
     ladder = [2**k for k in range(48)]
     above = counts.agg(*[F.count(F.when(F.col("count") >= k, 1)).alias(f"k{i}") for i, k in enumerate(ladder)]).first()
-    limit = next(k for i, k in enumerate(ladder) if above[i] <= FREQUENT)
+    limit = next(k for i, k in enumerate(ladder) if above[i] <= TABLE)
+    least = next(k for i, k in enumerate(ladder) if above[i] <= FREQUENT)
     top = counts.filter(F.col("count") >= limit).toArrow()
     order = np.argsort(top.column(0).to_numpy().view(np.uint64))
     words_of = top.column(0).to_numpy().view(np.uint64)[order]
@@ -392,9 +419,12 @@ def lm_scores(docs: DataFrame) -> DataFrame:
         del data
 
         def score(batches, shared=shared, here=here):
-            return _scored(batches, Filter.of(*shared.value, bits), here, *shared_words.value, total, vocabulary)
+            return _scored(batches, Filter.of(*shared.value, bits), here, *shared_words.value, total, vocabulary, least)
 
-        schema = "row long, n_tokens long, n_known long, base double, score double, keys array<long>, times array<long>, backed array<double>, c1 array<double>, c2 array<double>"
+        schema = (
+            "row long, n_tokens long, n_known long, base double, score double, keys array<long>, heads array<long>, "
+            "counts array<long>, times array<long>, backed array<double>, c1 array<double>, c2 array<double>"
+        )
         passes.append(written(rows.select("row", "text").mapInArrow(score, schema), "scores"))
         shared.unpersist()
     dropped(parts)
@@ -406,14 +436,24 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     single = (count + 1) / F.lit(float(total + vocabulary + 1))
     share = SHARE * c1 / (c1 + BACKING)
     pair = F.log10(share * F.least(F.col("c2"), count.cast("double")) / c1 + (1 - share) * single)
-    others = scored.select("row", F.inline(F.arrays_zip("keys", "times", "backed", "c1", "c2")))
-    others = others.join(rare, others["keys"] == rare["key"], "left").select(
+    items = scored.select("row", F.inline(F.arrays_zip("keys", "heads", "counts", "times", "backed", "c1", "c2")))
+    others = items.filter("heads is null").join(rare, items["keys"] == rare["key"], "left").select(
         "row",
         F.lit(0).cast("long").alias("n_tokens"),
         F.when(F.col("count") > 0, F.col("times")).otherwise(F.lit(0)).alias("n_known"),
         (F.col("times") * F.log10(single)).alias("base"),
         F.when(F.col("c2") > 0, pair).otherwise(F.col("backed") * F.log10(single)).alias("score"),
     )
+    # places whose context is outside the table: c1 and c2 as in the tasks, once both counts are there
+    of_heads = rare.select(F.col("key").alias("head_key"), F.col("count").alias("head_count"))
+    later = items.filter("heads is not null").join(rare, F.col("keys") == rare["key"], "left")
+    later = later.join(of_heads, F.col("heads") == of_heads["head_key"], "left")
+    word, head = F.coalesce("counts", "count", F.lit(0)), F.coalesce("head_count", F.lit(0))
+    bound = F.when(head >= (0 if least == 1 else least), F.least("c1", head.cast("double"))).otherwise(F.col("c1"))
+    later = later.select("row", word.alias("word"), bound.alias("c1"), F.least("c2", bound, word.cast("double")).alias("c2"))
+    after = share * F.col("c2") / F.greatest("c1", F.lit(1.0)) + (1 - share) * (F.col("word") + 1) / F.lit(float(total + vocabulary + 1))
+    none = [F.lit(0).cast("long").alias(c) for c in ("n_tokens", "n_known")]
+    others = others.unionByName(later.select("row", *none, F.lit(0.0).alias("base"), F.log10(after).alias("score")))
     both = others.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")])
     both = scored.select("row", "n_tokens", "n_known", "base", "score").unionByName(both)
     both = both.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")])

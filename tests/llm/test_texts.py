@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from phasediff.llm import byte_bpe, language_id, licences, license_scan, lm_score, ngram_join, quality_classifier, suffix_dedup
 from phasediff.llm.queries import bpe_digests, registered
-from phasediff.llm.store import shipped
+from phasediff.llm.store import shipped, written
 from tests.conftest import DATA
 from tests.llm import brute
 
@@ -378,6 +378,20 @@ def test_language_model_by_hand(spark, monkeypatch, frequent):
         assert r.score == pytest.approx(sum(score(h, w) for h, w in zip(["START", *t], t)))
 
 
+def test_scores_depend_on_no_table_and_no_task(spark, docs, monkeypatch):
+    """The same scores from a table of all words and from one of few, from one task and from many."""
+
+    def scores(df):
+        return {r.doc_id: r.score for r in lm_score.lm_scores(df).collect()}
+
+    shipped(spark)
+    stored = [written(docs.select("doc_id", "text").repartition(n, "doc_id"), "documents") for n in (1, 5)]
+    whole = scores(stored[0])
+    for df, table in ((stored[1], lm_score.TABLE), (stored[0], 50), (stored[1], 3)):
+        monkeypatch.setattr(lm_score, "TABLE", table)
+        assert scores(df) == pytest.approx(whole, rel=1e-9)
+
+
 def test_quality_on_held_out_rows(spark, docs):
     labels = spark.read.parquet(f"{DATA}/labels.parquet")
     rows = {r.doc_id: r for r in registered()["op5_quality_classifier"](spark, DATA).collect()}
