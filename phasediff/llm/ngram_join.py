@@ -365,7 +365,8 @@ def _difference_rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 def around_hubs(hubs: DataFrame, full: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     """(a, b) that may link, of sets with a common hub and different labels.
 
-    hubs: (hub, set, n, label); full: (set, shingles). Many sets that are close to a hub but do not link with
+    hubs: (hub, hub_label, set, n, label); full: (set, shingles). Sets that link with the hub itself are told with
+    it, unless they have its label. Many sets that are close to a hub but do not link with
     it share nearly everything, so what tells which of them link is where they differ from the hub: linked ones
     have differing shingles in common, the fewer sets have these the better. Shingles in which one set alone
     differs need no row.
@@ -397,6 +398,8 @@ def around_hubs(hubs: DataFrame, full: DataFrame, maps: DataFrame, percent: int)
     )
     most = f"(n + n_2 - 2 * (({percent}L * (n + n_2) + {99 + percent}L) div {100 + percent}L))"
     pairs = pairs.filter(f"2 * least(d - at, d_2 - at_2) >= d + d_2 - {most}").filter(_alike(percent))
+    beside_hub = apart.filter("linked").join(hubs.select("hub", "hub_label").distinct(), "hub").filter("label <> hub_label")
+    pairs = pairs.select("set", "set_2").union(beside_hub.select("set", "hub"))
     return pairs.select(F.least("set", "set_2").alias("a"), F.greatest("set", "set_2").alias("b")).distinct()
 
 
@@ -458,9 +461,11 @@ def ngram_join(docs: DataFrame, join: Join = Join()) -> DataFrame:
     marked = many.join(labels.withColumnRenamed("node", "set"), "set", "left").select("sig", "set", "n", "place", label)
     mixed_sigs = marked.groupBy("sig").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct("place", "set", "label")).alias("head"),
-        F.count("*").alias("members"), F.min("set").alias("hub"),
+        F.count("*").alias("members"), F.min(F.struct("set", "label")).alias("hub"),
     )
-    mixed_sigs = mixed_sigs.filter("low <> high and members > 2").select("sig", "members", "hub", F.col("head.label").alias("main"))
+    mixed_sigs = mixed_sigs.filter("low <> high").select(
+        "sig", "members", F.col("hub.set").alias("hub"), F.col("hub.label").alias("hub_label"), F.col("head.label").alias("main")
+    )
     marked = written(marked.join(mixed_sigs, "sig"), "marked")
     # two sets that have a signature and the one before it in common meet at the one before already
     in_order = Window.partitionBy("set").orderBy("place", "sig")
@@ -471,7 +476,7 @@ def ngram_join(docs: DataFrame, join: Join = Join()) -> DataFrame:
     across = strays.join(few, "sig").filter("label <> label_2 and (label = main or set > set_2)")
     across = across.filter("NOT coalesce(before = before_2, false)").filter(_alike(join.percent))
     rest = candidates(across.select("set", "n", "place", "next", "set_2", "n_2", "place_2", "next_2"), join.percent, True)
-    hubs = marked.filter((F.col("members") > DIRECT) & (F.col("set") != F.col("hub"))).select("hub", "set", "n", "label").distinct()
+    hubs = marked.filter((F.col("members") > DIRECT) & (F.col("set") != F.col("hub"))).select("hub", "hub_label", "set", "n", "label").distinct()
     hubs = written(hubs, "hubs")
     if not hubs.isEmpty():
         ends = hubs.select("set").union(hubs.select("hub")).distinct()

@@ -60,6 +60,24 @@ def test_join_of_similar_texts(spark, monkeypatch, size, percent):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute.components(rows, size, percent)
 
 
+@pytest.mark.parametrize("seed, sizes, direct", [(5, [4, 12], 3), (3, [16, 24, 30], 12)])
+def test_join_of_crowds_around_a_text(spark, monkeypatch, seed, sizes, direct):
+    """Texts that link with the hub of a signature alone, or whose two signatures in common are of different kinds."""
+    monkeypatch.setattr(ngram_join, "DIRECT", direct)
+    rng, rows = random.Random(seed), []
+    for g in range(40):
+        n = rng.choice([20, 40, 60, 100])
+        base, spread = [f"g{g}w{k}" for k in range(n)], rng.choice([0.08, 0.12, 0.2])
+        for _ in range(rng.choice(sizes)):
+            text = list(base)
+            for k in rng.sample(range(n), min(n, int(rng.random() * spread * 2 * n))):
+                text[k] = rng.choice([f"u{len(rows)}x{k}", f"g{g}alt{k}a", f"g{g}alt{k}b"])
+            rows.append((len(rows), " ".join(text)))
+    df = shipped(spark).createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    found = ngram_join.ngram_join(df, ngram_join.Join(1, 80)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute.components(rows, 1, 80)
+
+
 def test_join_of_odd_rows(odd):
     found = [(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.ngram_join(odd).collect()]
     assert brute.by_text(found) == brute.by_text(brute.components([r[:2] for r in brute.ODD], 3, 90))
