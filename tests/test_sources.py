@@ -206,3 +206,14 @@ def test_pillar_and_measure_folders(spark, fx, tmp_path):
     measures = harvest.measures_by_pillar(fx.measure, pillars)
     path = sinks.export_measures(measures, str(tmp_path / "measures"))
     assert spark.read.parquet(path).count() == measures.count()
+
+
+def test_phases_are_stored_without_a_sort(spark, tmp_path):
+    """Rows of all phases alternate; a sort by folder would take every row of a long fact through memory or disk."""
+    fact = spark.range(1000).selectExpr("id", "concat('p', id % 5) AS phase")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    path = sinks.write_versions(fact, str(tmp_path / "versions"))
+    plan = spark._jsparkSession.sharedState().statusStore().executionsList().last().physicalPlanDescription()
+    assert "InsertIntoHadoopFsRelationCommand" in plan and "Sort" not in plan
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == sorted(map(tuple, fact.collect()))
