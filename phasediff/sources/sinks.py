@@ -3,31 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
-from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phasediff.plans import ladder, lines, service
-
+from phasediff.sources.files import setting
 
 #: Folders that a task writes side by side; rows for more of them are sorted by folder first.
 OPEN_FOLDERS = 32
 
 
-@contextmanager
-def open_folders(spark: SparkSession, most: int = OPEN_FOLDERS) -> Iterator[None]:
-    """Writes within keep a file open for each folder, where Spark would sort all rows of a task by folder."""
-    key = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(most))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def export_name(
     folder: str, stem: str, start: str, end: str, run_date: dt.date | None = None
 ) -> str:
@@ -76,10 +62,10 @@ def write_by(
 def write_versions(fact: DataFrame, path: str, fmt: str = "parquet") -> str:
     """A fact with a `phase` column, stored as one folder per phase; other phases stay as they are.
 
-    There are few phases, so their files are written side by side and no row is sorted.
+    There are few phases, so a task keeps a file open for each, where Spark would sort its rows by folder.
     """
     writer = fact.write.mode("overwrite").partitionBy("phase").format(fmt)
-    with open_folders(fact.sparkSession):
+    with setting(fact.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FOLDERS)):
         writer.option("partitionOverwriteMode", "dynamic").save(path)
     return path
 

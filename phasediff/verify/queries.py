@@ -508,7 +508,7 @@ def export_change_sheets_by_service(fx):
     sinks.export_change_sheets(sheet, fx.assignment, path, by_service=True)
     again = sheet.filter(F.col("agency_name") == sheet.agg(F.min("agency_name")).scalar())
     sinks.export_change_sheets(again, fx.assignment, path, by_service=True)
-    return fx.spark.read.parquet(path)
+    return files.read_folders(fx.spark, path)
 
 
 @query

@@ -217,3 +217,18 @@ def test_phases_are_stored_without_a_sort(spark, tmp_path):
     assert "InsertIntoHadoopFsRelationCommand" in plan and "Sort" not in plan
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == sorted(map(tuple, fact.collect()))
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    path = str(tmp_path / "folders")
+    rows = spark.range(150).selectExpr("id", "id AS folder").coalesce(1)
+    rows.write.partitionBy("folder").parquet(path)
+    tracker, group = spark.sparkContext.statusTracker(), "listing of folders"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        table = files.read_folders(spark, path)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    assert 1 < max(tracker.getStageInfo(s).numTasks for s in stages) <= files.LISTING_TASKS * spark.sparkContext.defaultParallelism
+    assert sorted(map(tuple, table.collect())) == [(k, k) for k in range(150)]
