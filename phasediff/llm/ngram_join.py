@@ -10,8 +10,9 @@ until what all groups and the rare shingles survive is e + 2. Linked documents t
 Equal sets become one node first. Documents of a signature are compared with the one that has the fewest
 shingles before it, so a group of copies costs its size and not its square. Where a signature still has
 several components after that, and a few documents, those of different components are compared with each
-other; where it has many, one of them is their hub, and only documents are compared that have rare ones of the
-shingles in common in which they differ from the hub. Of these pairs only those leave the join whose parity maps
+other; where it has many, those of neighbouring size classes are. Where a class has many as well, one of them is
+their hub, and only documents are compared that have rare ones of the shingles in common in which they differ
+from the hub. Of these pairs only those leave the join whose parity maps
 differ in no more bits than linked sets may in shingles, and only at the first of consecutive signatures.
 """
 
@@ -50,9 +51,10 @@ MAP = [f"m{k}" for k in range(MAP_WORDS)]
 SHARED = 2
 SMALL = 4
 
-#: Documents of a signature that so few have are compared with each other; of larger groups, only those that
-#: have in common where they differ from the group's hub. The links are the same.
-DIRECT = 12
+#: Documents of a signature that so few have are compared with each other. Larger groups are cut by size class;
+#: where one is still larger, only documents are compared that have in common where they differ from the hub of
+#: the class. The links are the same.
+DIRECT = 200
 #: A hub's shingles are sent once for so many of its sets.
 HUB_ROWS = 1_000
 
@@ -459,25 +461,34 @@ def ngram_join(docs: DataFrame, join: Join = Join()) -> DataFrame:
     labels = components(links)
     label = F.coalesce("label", "set").alias("label")
     marked = many.join(labels.withColumnRenamed("node", "set"), "set", "left").select("sig", "set", "n", "place", label)
-    mixed_sigs = marked.groupBy("sig").agg(
+    mixed_sigs = marked.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"))
+    marked = marked.join(mixed_sigs.filter("low <> high").select("sig", "members"), "sig")
+    # two sets that have a signature and the one before it in common meet at the one before already
+    in_order = Window.partitionBy("set").orderBy("place", "sig")
+    marked = marked.withColumns({"before": F.lag("sig").over(in_order), "next": F.lead("sig").over(in_order)})
+    # linked sets are of one size class or of neighbouring ones: in large groups only these meet
+    size_class = F.floor(F.log("n") / F.log(F.lit(100 / join.percent)) + 1e-9).cast("int")
+    cells = F.when(F.col("members") > DIRECT, F.array("class", F.col("class") + 1)).otherwise(F.array(F.lit(-1)))
+    marked = marked.withColumn("class", size_class).withColumn("cell", F.explode(cells)).drop("members")
+    marked = written(marked, "marked")
+    mixed_cells = marked.groupBy("sig", "cell").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct("place", "set", "label")).alias("head"),
         F.count("*").alias("members"), F.min(F.struct("set", "label")).alias("hub"),
     )
-    mixed_sigs = mixed_sigs.filter("low <> high").select(
-        "sig", "members", F.col("hub.set").alias("hub"), F.col("hub.label").alias("hub_label"), F.col("head.label").alias("main")
+    mixed_cells = mixed_cells.filter("low <> high").select(
+        "sig", "cell", "members", F.col("hub.set").alias("hub"), F.col("hub.label").alias("hub_label"), F.col("head.label").alias("main")
     )
-    marked = written(marked.join(mixed_sigs, "sig"), "marked")
-    # two sets that have a signature and the one before it in common meet at the one before already
-    in_order = Window.partitionBy("set").orderBy("place", "sig")
-    beside = {"before": F.lag("sig").over(in_order), "next": F.lead("sig").over(in_order)}
-    few = marked.filter(F.col("members") <= DIRECT).withColumns(beside).join(maps, "set")
-    second = [F.col(c).alias(f"{c}_2") for c in ("set", "n", "place", "label", "before", "next", *MAP)]
-    strays = few.filter("label <> main").select("sig", *second)
-    across = strays.join(few, "sig").filter("label <> label_2 and (label = main or set > set_2)")
+    marked = marked.join(mixed_cells, ["sig", "cell"])
+    few = marked.filter(F.col("members") <= DIRECT).join(maps, "set")
+    second = [F.col(c).alias(f"{c}_2") for c in ("set", "n", "place", "label", "before", "next", "class", *MAP)]
+    strays = few.filter("label <> main").select("sig", "cell", *second)
+    across = strays.join(few, ["sig", "cell"]).filter("label <> label_2 and (label = main or set > set_2)")
+    across = across.filter("cell = -1 or class <> class_2 or cell = class")
+    across = across.filter(f"100L * least(n, n_2) >= {join.percent}L * greatest(n, n_2)")
     across = across.filter("NOT coalesce(before = before_2, false)").filter(_alike(join.percent))
     rest = candidates(across.select("set", "n", "place", "next", "set_2", "n_2", "place_2", "next_2"), join.percent, True)
-    hubs = marked.filter((F.col("members") > DIRECT) & (F.col("set") != F.col("hub"))).select("hub", "hub_label", "set", "n", "label").distinct()
-    hubs = written(hubs, "hubs")
+    hubs = marked.filter((F.col("members") > DIRECT) & (F.col("set") != F.col("hub")))
+    hubs = written(hubs.select("hub", "hub_label", "set", "n", "label").distinct(), "hubs")
     if not hubs.isEmpty():
         ends = hubs.select("set").union(hubs.select("hub")).distinct()
         full = written(shingles_of(ends), "hub-shingles")
