@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phasediff.llm.store import dropped, written
+from phasediff.llm.store import dropped, freeing, written
 from phasediff.llm.text import mixed
 
 SLICE_BYTES = 1 << 20
@@ -35,6 +35,8 @@ SEGMENT_BYTES = 64 << 20
 #: Pairs that a task holds before it writes them, and slots of a dense vector.
 HELD = 1 << 20
 VECTOR = 1 << 15
+#: Rows of a batch of pairs.
+_ROWS = 1 << 16
 
 _LOAD = 1.5
 _LEVELS = 40
@@ -164,7 +166,7 @@ def encoded(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 first = last
 
     given = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return given.mapInArrow(run, "doc_id long, a binary, b binary")
+    return given.mapInArrow(freeing(run), "doc_id long, a binary, b binary")
 
 
 # ---------------------------------------------------------------- alignment
@@ -244,11 +246,11 @@ def group_texts(of: Aligned, size: int) -> list[bytes]:
 
 
 def _slices(batch: pa.RecordBatch, a: int, b: int) -> Iterator[tuple[int, list[bytes], list[bytes]]]:
-    """(first row, a, b) of stretches of rows with so many tokens at most (a longer document is one of its own)."""
+    """(first row, a, b) of stretches of rows with SLICE_BYTES of ids at most (a longer document is one of its own)."""
     xs, ys = batch.column(a).to_pylist(), batch.column(b).to_pylist()
     first, size = 0, 0
     for k, (x, y) in enumerate(zip(xs, ys)):
-        if k > first and size + len(x) + len(y) > 4 * SLICE_BYTES:
+        if k > first and size + len(x) + len(y) > SLICE_BYTES:
             yield first, xs[first:k], ys[first:k]
             first, size = k, 0
         size += len(x) + len(y)
@@ -275,21 +277,21 @@ def task_pairs(ids: DataFrame, paths: tuple[str, str]) -> DataFrame:
         task = TaskContext.get().partitionId()
         keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
-        def out():
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(keys), task)), pa.array(keys.astype(np.int64)), pa.array(counts)], schema=schema
-            )
+        def out() -> Iterator[pa.RecordBatch]:
+            for at in range(0, len(keys), _ROWS):
+                some = keys[at : at + _ROWS].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), task)), pa.array(some), pa.array(counts[at : at + _ROWS])], schema=schema)
 
         for batch in batches:
             for _, x, y in _slices(batch, 0, 1):
                 own = np.unique(aligned(x, y, a_pieces, b_pieces).pairs, return_counts=True)
                 keys, counts = _summed(np.concatenate([keys, own[0]]), np.concatenate([counts, own[1]]))
                 if len(keys) > HELD:
-                    yield out()
-                    keys, counts = keys[:0], counts[:0]
-        yield out()
+                    yield from out()
+                    keys, counts = keys[:0].copy(), counts[:0].copy()
+        yield from out()
 
-    return ids.select("a", "b").mapInArrow(run, "task long, key long, n long")
+    return ids.select("a", "b").mapInArrow(freeing(run), "task long, key long, n long")
 
 
 # ---------------------------------------------------------------- minimal perfect hash
@@ -424,8 +426,8 @@ def perfect_hashes(pairs: DataFrame) -> DataFrame:
         if found:
             yield built(now, found)
 
-    keys = pairs.select("key").distinct().mapInArrow(numbered, "part long, key long")
-    return keys.repartition("part").sortWithinPartitions("part").mapInArrow(run, "part long, n long, hash binary, keys binary")
+    keys = pairs.select("key").distinct().mapInArrow(freeing(numbered), "part long, key long")
+    return keys.repartition("part").sortWithinPartitions("part").mapInArrow(freeing(run), "part long, n long, hash binary, keys binary")
 
 
 # ---------------------------------------------------------------- dense vectors, added up in a tree
@@ -468,14 +470,14 @@ def vectors(pairs: DataFrame, hashes: DataFrame) -> DataFrame:
             )
 
     none = F.lit(None).cast("binary").alias("hash")
-    counted = pairs.mapInArrow(placed, "part long, grp long, key long, n long").select(
+    counted = pairs.mapInArrow(freeing(placed), "part long, grp long, key long, n long").select(
         "part", "grp", F.lit(1).cast("long").alias("kind"), "key", "n", none
     )
     groups = (pairs.agg(F.max("task")).first()[0] or 0) // FAN + 1
     all_groups = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))
     given = hashes.select("part", all_groups.alias("grp"), F.lit(0).cast("long").alias("kind"), F.lit(0).cast("long").alias("key"), "n", "hash")
     rows = given.unionByName(counted).repartition("part", "grp").sortWithinPartitions("part", "grp", "kind")
-    first = rows.mapInArrow(dense, _VECTORS)
+    first = rows.mapInArrow(freeing(dense), _VECTORS)
     return first if groups == 1 else _tree(written(first, "pair-vectors"), groups)
 
 
@@ -500,7 +502,7 @@ def _tree(rows: DataFrame, groups: int) -> DataFrame:
     while groups > 1:
         groups = (groups + FAN - 1) // FAN
         higher = rows.withColumn("grp", F.expr(f"grp div {FAN}")).repartition("part", "chunk", "grp")
-        rows = higher.sortWithinPartitions("part", "chunk", "grp").mapInArrow(added, _VECTORS)
+        rows = higher.sortWithinPartitions("part", "chunk", "grp").mapInArrow(freeing(added), _VECTORS)
         rows = written(rows, "pair-vectors") if groups > 1 else rows
     return rows
 
@@ -568,7 +570,7 @@ def _looked_up(rows: DataFrame, paths: tuple[str, str], holder, number: int, las
                 columns = [own[n] if isinstance(own[n], pa.Array) else pa.array(own[n].astype(np.int64)) for n in names]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return rows.mapInArrow(run, kinds)
+    return rows.mapInArrow(freeing(run), kinds)
 
 
 def best_counts(hashes: DataFrame, counted: DataFrame, size: int) -> np.ndarray:
@@ -587,7 +589,7 @@ def best_counts(hashes: DataFrame, counted: DataFrame, size: int) -> np.ndarray:
 
     joined = counted.join(hashes.select("part", "keys"), "part").select(F.expr(f"chunk * {VECTOR}").alias("first"), "keys", "counts")
     best = np.zeros(size, np.int64)
-    for b, n in joined.mapInArrow(highest, "b long, n long").groupBy("b").agg(F.max("n")).collect():
+    for b, n in joined.mapInArrow(freeing(highest), "b long, n long").groupBy("b").agg(F.max("n")).collect():
         best[b] = n
     return best
 

@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -135,3 +136,12 @@ def test_query(spark):
     digest = lambda g: hashlib.sha256(g.encode()).hexdigest() if g else ""
     assert sorted(own) == sorted((*r[:-1], digest(r[-1])) for r in plain(rows))
     assert got.filter(F.col("n_links") > 0).count() > 0
+
+
+def test_a_stretch_of_documents_is_bounded():
+    """A task aligns SLICE_BYTES of ids at a time, whatever it is given; a longer document is one of its own."""
+    ids = [b"\1\0\0\0" * n for n in (30_000, 90_000, 60_000, 300_000, 1)] * 4
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())] * 2, ["a", "b"])
+    found = list(token_alignment._slices(batch, 0, 1))
+    assert [x for _, xs, _ in found for x in xs] == ids
+    assert all(2 * sum(map(len, xs)) <= token_alignment.SLICE_BYTES or len(xs) == 1 for _, xs, _ in found)
