@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phasediff.llm.quality_classifier import held_out
-from phasediff.llm.store import dropped, repeatable, written
+from phasediff.llm.store import dropped, freeing, repeatable, written
 from phasediff.llm.text import LOWER, NOT_SPACE, bounds, hashes, mixed, slices
 
 #: Words whose exact counts are broadcast (16 bytes each). It divides the work; the scores are the same.
@@ -90,6 +90,20 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[at], np.add.reduceat(counts, at) if len(at) else counts
 
 
+def distinct(keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The different keys, in order, and how often each is there, by their high four bits; sorts keys in place.
+
+    What a task makes from its keys is made for a sixteenth of them at a time. From four bits on, no part of the
+    filter is divided by that.
+    """
+    keys.sort()
+    cuts = np.searchsorted(keys, np.arange(1, 16, dtype=np.uint64) << np.uint64(60))
+    for some in np.split(keys, cuts):
+        if len(some):
+            at = np.flatnonzero(np.concatenate([[True], some[1:] != some[:-1]]))
+            yield some[at], np.diff(np.append(at, len(some)))
+
+
 def _counted(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     """Counts of the task's words (size 1) and pairs (size 2), packed for each part of the filter."""
     held: dict[int, list[np.ndarray]] = {1: [], 2: []}
@@ -97,20 +111,21 @@ def _counted(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Record
 
     def packed() -> Iterator[pa.RecordBatch]:
         for size, found in held.items():
-            keys, counts = np.unique(np.concatenate(found), return_counts=True)
-            part = parts_of(keys, bits)
-            order = np.argsort(part, kind="stable")
-            keys, counts, part = keys[order], counts[order].astype(np.uint32), part[order]
-            cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
-            small = counts < 255
-            rows = []
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                large = counts[a:b][~small[a:b]]
-                rows.append((int(part[a]), size, keys[a:b].tobytes(), np.minimum(counts[a:b], 255).astype(np.uint8).tobytes(), large.tobytes()))
-            columns = list(zip(*rows))
-            types = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["part", "size", "keys", "counts", "large"])
+            keys = np.concatenate(found)
             found.clear()
+            for some, counts in distinct(keys):
+                part = parts_of(some, bits)
+                order = np.argsort(part, kind="stable")
+                some, counts, part = some[order], counts[order].astype(np.uint32), part[order]
+                cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
+                small = counts < 255
+                rows = []
+                for a, b in zip(cuts[:-1], cuts[1:]):
+                    large = counts[a:b][~small[a:b]]
+                    rows.append((int(part[a]), size, some[a:b].tobytes(), np.minimum(counts[a:b], 255).astype(np.uint8).tobytes(), large.tobytes()))
+                columns = list(zip(*rows))
+                types = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["part", "size", "keys", "counts", "large"])
 
     for batch in batches:
         for _, _, words, offsets in tokens(batch.column(0)):
@@ -366,10 +381,10 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     )
     bits = PART_BITS
     counted = rows.filter("not held_out").select("text").mapInArrow(
-        lambda b: _counted(b, bits), "part int, size int, keys binary, counts binary, large binary"
+        freeing(lambda b: _counted(b, bits)), "part int, size int, keys binary, counts binary, large binary"
     )
     merged = counted.repartition("part").sortWithinPartitions("part").mapInArrow(
-        _merged, "part int, bits binary, keys binary, counts binary"
+        freeing(_merged), "part int, bits binary, keys binary, counts binary"
     )
     parts = written(merged, "filter")
 
@@ -380,7 +395,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
                     [pa.array(np.frombuffer(keys, np.int64)), pa.array(np.frombuffer(counts, np.int64))], ["key", "count"]
                 )
 
-    counts = written(parts.select("keys", "counts").mapInArrow(unpacked, "key long, count long"), "words")
+    counts = written(parts.select("keys", "counts").mapInArrow(freeing(unpacked), "key long, count long"), "words")
     sums = counts.agg(F.sum("count").alias("n"), F.count("*").alias("v")).first()
     total, vocabulary = int(sums.n or 0), int(sums.v)
     # counts from the limit on have TABLE words at most, whatever the vocabulary
@@ -425,7 +440,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
             "row long, n_tokens long, n_known long, base double, score double, keys array<long>, heads array<long>, "
             "counts array<long>, times array<long>, backed array<double>, c1 array<double>, c2 array<double>"
         )
-        passes.append(written(rows.select("row", "text").mapInArrow(score, schema), "scores"))
+        passes.append(written(rows.select("row", "text").mapInArrow(freeing(score), schema), "scores"))
         shared.unpersist()
     dropped(parts)
     scored = passes[0]

@@ -143,6 +143,22 @@ def test_passages_with_shared_parts(spark, monkeypatch, most):
     assert sorted(removed(df)) == sorted(brute.passages(rows))
 
 
+def test_counts_leave_a_task_in_pieces():
+    """A task's counts were one batch of each size; they are the same in several."""
+    words = [f"w{k % 700}" for k in range(3000)]
+    batch = pa.RecordBatch.from_arrays([pa.array([" ".join(words)] * 2)], ["text"])
+    out = list(lm_score._counted(iter([batch]), 8))
+    rows = [r for b in out for r in b.to_pylist()]
+    assert len(out) > 20 and len({(r["part"], r["size"]) for r in rows}) == len(rows)
+    tokens = np.concatenate([w for _, _, w, _ in lm_score.tokens(batch.column(0))])
+    expected = Counter(tokens.tolist()) + Counter({int(lm_score.START): 2})
+    found = {}
+    for r in rows:
+        if r["size"] == 1:
+            found |= dict(zip(np.frombuffer(r["keys"], np.uint64).tolist(), np.frombuffer(r["counts"], np.uint8).tolist()))
+    assert found == dict(expected)
+
+
 def test_bpe_equals_the_library(odd, docs):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     with open(path, "rb") as file:
