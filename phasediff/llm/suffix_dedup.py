@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phasediff.llm.lm_score import Filter, built, parts_of
-from phasediff.llm.store import dropped, repeatable, written
+from phasediff.llm.lm_score import Filter, built, distinct, parts_of
+from phasediff.llm.store import dropped, freeing, repeatable, written
 from phasediff.llm.text import _BACK, _BASE, _VALUE, mixed, slices
 
 LENGTH = 100
@@ -126,7 +126,8 @@ def anchored(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray
         counts = np.diff(np.append(starts, windows))
         good = inside[starts]
         starts, counts = starts[good], counts[good]
-        yield starts + at, counts, grams[anchor[starts]]
+        # smallest hashes are small numbers; mixed again they fill all parts alike
+        yield starts + at, counts, mixed(grams[anchor[starts]])
 
 
 def _counted(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
@@ -134,18 +135,19 @@ def _counted(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Record
     held: list[np.ndarray] = []
     many = 0
 
-    def out() -> pa.RecordBatch:
-        keys, counts = np.unique(np.concatenate(held), return_counts=True)
+    def out() -> Iterator[pa.RecordBatch]:
+        keys = np.concatenate(held)
         held.clear()
-        part = parts_of(keys, bits)
-        order = np.argsort(part, kind="stable")
-        part, keys, counts = part[order], keys[order], counts[order] > 1
-        cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
-        rows = [(int(part[a]), keys[a:b].tobytes(), np.packbits(counts[a:b]).tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
-        columns = list(zip(*rows))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())], ["part", "keys", "twice"]
-        )
+        for some, counts in distinct(keys):
+            part = parts_of(some, bits)
+            order = np.argsort(part, kind="stable")
+            part, some, twice = part[order], some[order], counts[order] > 1
+            cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
+            rows = [(int(part[a]), some[a:b].tobytes(), np.packbits(twice[a:b]).tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
+            columns = list(zip(*rows))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.binary())], ["part", "keys", "twice"]
+            )
 
     for batch in batches:
         for _, _, data, offsets in slices(batch.column(0)):
@@ -153,10 +155,10 @@ def _counted(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Record
                 held.append(hashes)
                 many += len(hashes)
             if many > 3_000_000:
-                yield out()
+                yield from out()
                 many = 0
     if many:
-        yield out()
+        yield from out()
 
 
 def _repeated(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.RecordBatch]:
@@ -384,22 +386,22 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text"))
     tasks = max(1, rows.rdd.getNumPartitions())
     bits = min(12, max(2, (tasks - 1).bit_length()))
-    counted = rows.select("text").mapInArrow(lambda b: _counted(b, bits), "part int, keys binary, twice binary")
+    counted = rows.select("text").mapInArrow(freeing(lambda b: _counted(b, bits)), "part int, keys binary, twice binary")
     most = FILTER_BYTES // (16 << bits)
-    filters = counted.repartition("part").sortWithinPartitions("part").mapInArrow(lambda b: _repeated(b, most), "part int, bits binary")
+    filters = counted.repartition("part").sortWithinPartitions("part").mapInArrow(freeing(lambda b: _repeated(b, most)), "part int, bits binary")
     filters = written(filters, "repeated")
     table = filters.toArrow()
     shared = spark.sparkContext.broadcast(list(zip(table.column(0).to_pylist(), table.column(1).to_pylist())))
     dropped(filters)
 
     schema = "part int, row long, start long, stop long, anchors binary, docs binary, rows binary, places binary, windows binary, text binary"
-    sent = written(rows.mapInArrow(lambda b: _stretches(b, Filter(shared.value, bits)), schema), "stretches")
+    sent = written(rows.mapInArrow(freeing(lambda b: _stretches(b, Filter(shared.value, bits))), schema), "stretches")
     resolved = (
         sent.filter("part is not null").select("part", "anchors", "docs", "rows", "places", "windows", "text")
-        .repartition("part").sortWithinPartitions("part").mapInArrow(_resolved, "row long, start long, stop long")
+        .repartition("part").sortWithinPartitions("part").mapInArrow(freeing(_resolved), "row long, start long, stop long")
     )
     resolved = written(resolved, "removed")
     gone = resolved.unionByName(sent.filter("part is null").select("row", "start", "stop"))
     gone = gone.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
     both = rows.join(gone, "row", "left").select("doc_id", "text", "ranges")
-    return both.mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return both.mapInArrow(freeing(_kept), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

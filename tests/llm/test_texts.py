@@ -159,6 +159,24 @@ def test_counts_leave_a_task_in_pieces():
     assert found == dict(expected)
 
 
+@pytest.mark.parametrize("bits", [2, 8])
+def test_anchors_leave_a_task_in_pieces(bits):
+    rng = np.random.default_rng(3)
+    text = bytes(rng.integers(97, 123, 30_000, dtype=np.uint8)).decode()
+    out = list(suffix_dedup._counted(iter([pa.RecordBatch.from_arrays([pa.array([text, text[:9000], "x"])], ["text"])]), bits))
+    data = np.frombuffer((text + text[:9000] + "x").encode(), np.uint8)
+    hashes = np.concatenate([h for _, _, h in suffix_dedup.anchored(data, np.array([0, 30_000, 39_000, 39_001]))])
+    found = {}
+    for row in (r for b in out for r in b.to_pylist()):
+        keys = np.frombuffer(row["keys"], np.uint64)
+        assert (lm_score.parts_of(keys, bits) == row["part"]).all()
+        found |= dict(zip(keys.tolist(), (np.unpackbits(np.frombuffer(row["twice"], np.uint8), count=len(keys)) > 0).tolist()))
+    assert len(out) > 8 and found == {k: n > 1 for k, n in Counter(hashes.tolist()).items()}
+    # most anchors were in the first parts, as their hashes are the smallest of their windows
+    shares = np.bincount(lm_score.parts_of(hashes, 2) // 16, minlength=4) / len(hashes)
+    assert shares.max() < 0.35
+
+
 def test_bpe_equals_the_library(odd, docs):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     with open(path, "rb") as file:
