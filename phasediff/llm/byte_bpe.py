@@ -10,20 +10,22 @@ made when first needed and kept, so that most bytes cost one lookup.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from phasediff.llm.store import freeing
+
 #: Limits of what a worker remembers. Common pieces come early, so they are what is kept; beyond the limits
 #: the same steps are taken and not remembered. After RENEWED misses a worker starts afresh.
 STATES = 60_000
 CHUNKS = 300_000
 PAIRS = 300_000
 RENEWED = 5_000_000
-_BATCH_BYTES = 8 << 20
+_BATCH_BYTES = 4 << 20
 
 
 def read_ranks(path: str) -> bytes:
@@ -272,7 +274,21 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
         rows = ((d.as_py(), encoder.encode(t.as_py() or "")) for b in batches for d, t in zip(b.column(0), b.column(1)))
         return _batches(rows, schema, 1)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(freeing(run), "doc_id long, ids binary")
+
+
+def _decoder(lines: bytes) -> Callable[[bytes], str]:
+    """The text of ids; bytes that are no UTF-8 become U+FFFD."""
+    pairs = (line.split() for line in lines.splitlines() if line)
+    tokens = {int(rank): base64.b64decode(token) for token, rank in pairs}.__getitem__
+
+    def text(ids: bytes) -> str:
+        stream, out = Utf8Stream(), []
+        for at in range(0, len(ids), 1 << 16):
+            out.append(stream.feed(b"".join(map(tokens, memoryview(ids[at : at + (1 << 16)]).cast("I")))))
+        return "".join([*out, stream.end()])
+
+    return text
 
 
 def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
@@ -281,16 +297,21 @@ def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = (line.split() for line in shared.value.splitlines() if line)
-        tokens = {int(rank): base64.b64decode(token) for token, rank in pairs}.__getitem__
+        text = _decoder(shared.value)
+        rows = ((d.as_py(), i := ids.as_py() or b"", text(i)) for b in batches for d, ids in zip(b.column(0), b.column(1)))
+        return _batches(rows, schema, 1)
 
-        def text(ids: bytes) -> str:
-            stream, out = Utf8Stream(), []
-            for at in range(0, len(ids), 1 << 16):
-                out.append(stream.feed(b"".join(map(tokens, memoryview(ids[at : at + (1 << 16)]).cast("I")))))
-            return "".join([*out, stream.end()])
+    return encoded.select("doc_id", "ids").mapInArrow(freeing(run), "doc_id long, ids binary, text string")
 
-        rows = ((d.as_py(), i := ids.as_py() or b"", text(i)) for b in batches for d, ids in zip(b.column(0), b.column(1)))
+
+def round_trip(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
+    """decode(encode(docs)) with one Python worker a task: of two in a row each would come to hold an encoder."""
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("text", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, text = _encoder(shared.value, pattern), _decoder(shared.value)
+        rows = ((d.as_py(), i := encoder.encode(t.as_py() or ""), text(i)) for b in batches for d, t in zip(b.column(0), b.column(1)))
         return _batches(rows, schema, 1)
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(freeing(run), "doc_id long, ids binary, text string")

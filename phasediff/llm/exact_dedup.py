@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phasediff.llm.store import dropped, written
+from phasediff.llm.store import dropped, freeing, written
 
 BLOCK_BYTES = 4096
 NOTHING = -1
@@ -93,13 +93,13 @@ def text_names(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     row is monotonically_increasing_id() of docs: the same again for a second read of a stored table.
     """
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text"))
-    blocks = written(numbered.mapInArrow(lambda b: _blocks(b, block_bytes), _BLOCKS), "blocks")
+    blocks = written(numbered.mapInArrow(freeing(lambda b: _blocks(b, block_bytes)), _BLOCKS), "blocks")
     names = written(
         blocks.filter("block is not null")
         .select("at", "block")
         .repartition("block")
         .sortWithinPartitions("block", "at")
-        .mapInArrow(_named, "at long, name long"),
+        .mapInArrow(freeing(_named), "at long, name long"),
         "block-names",
     )
     level = written(blocks.drop("block").join(names, "at"), "round-0")

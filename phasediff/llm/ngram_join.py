@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from phasediff.llm.components import components
 from phasediff.llm.lm_score import Filter, parts_of
-from phasediff.llm.store import dropped, repeatable, written
+from phasediff.llm.store import dropped, freeing, repeatable, written
 from phasediff.llm.suffix_dedup import FILTER_BYTES, bounded
 from phasediff.llm.text import LOWER, NOT_SPACE, bounds, hashes, joined, mixed, slices
 
@@ -253,8 +253,8 @@ def _filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def row_filter(rows: DataFrame) -> Broadcast:
     """A Bloom filter of row numbers, of FILTER_BYTES at most; parts that would be larger let every row through."""
-    parts = rows.mapInArrow(_parted, "part int, keys binary").repartition("part").sortWithinPartitions("part")
-    found = parts.mapInArrow(_filters, "part int, bits binary").toArrow()
+    parts = rows.mapInArrow(freeing(_parted), "part int, keys binary").repartition("part").sortWithinPartitions("part")
+    found = parts.mapInArrow(freeing(_filters), "part int, bits binary").toArrow()
     return rows.sparkSession.sparkContext.broadcast(list(zip(found.column(0).to_pylist(), found.column(1).to_pylist())))
 
 
@@ -379,7 +379,7 @@ def around_hubs(hubs: DataFrame, full: DataFrame, maps: DataFrame, percent: int)
     members = dealt.join(full, "set")
     both = members.join(centers, ["hub", "salt"]).select("hub", "set", "n", "label", "center", "shingles")
     schema = "hub long, set long, n int, label long, linked boolean, outer int, inner int, differ array<long>"
-    apart = written(both.mapInArrow(lambda b: _differences(b, percent), schema), "differences")
+    apart = written(both.mapInArrow(freeing(lambda b: _differences(b, percent)), schema), "differences")
     each = apart.select("hub", "set", F.explode("differ").alias("shingle"))
     shared = each.groupBy("hub", "shingle").agg(F.count("*").alias("times")).filter("times > 1")
     in_order = Window.partitionBy("hub", "set").orderBy("times", "shingle")
@@ -417,7 +417,7 @@ def ngram_join(docs: DataFrame, join: Join = Join()) -> DataFrame:
     docs = repeatable(docs)
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text"))
     sets = written(
-        numbered.mapInArrow(lambda b: _sets(b, join.shingle), "row long, doc_id long, set long, n long, often array<long>, map array<long>"),
+        numbered.mapInArrow(freeing(lambda b: _sets(b, join.shingle)), "row long, doc_id long, set long, n long, often array<long>, map array<long>"),
         "sets",
     )
     pairs = F.expr("transform(sequence(0, size(often) - 2, 2), i -> struct(often[i] AS shingle, often[i + 1] AS times))")
@@ -431,7 +431,7 @@ def ngram_join(docs: DataFrame, join: Join = Join()) -> DataFrame:
     sets = sets.filter("row is not null").drop("often", "map")
 
     sigs = written(
-        docs.select("text").mapInArrow(lambda b: _signatures(b, join, shared.value), "sig long, set long, n int, place int"),
+        docs.select("text").mapInArrow(freeing(lambda b: _signatures(b, join, shared.value)), "sig long, set long, n int, place int"),
         "signatures",
     )
     twice = sigs.groupBy("sig").count().filter("count > 1").select("sig")
@@ -447,7 +447,7 @@ def ngram_join(docs: DataFrame, join: Join = Join()) -> DataFrame:
     def shingles_of(nodes: DataFrame) -> DataFrame:
         """set, shingles of the nodes and perhaps of others; they come from the first row of each node."""
         wanted = row_filter(nodes.join(first, "set").select("row"))
-        return numbered.select("row", "text").mapInArrow(lambda b: _full_sets(b, join.shingle, wanted), "set long, shingles binary")
+        return numbered.select("row", "text").mapInArrow(freeing(lambda b: _full_sets(b, join.shingle, wanted)), "set long, shingles binary")
 
     def linked(found: DataFrame) -> DataFrame:
         """The pairs that link."""
@@ -455,7 +455,7 @@ def ngram_join(docs: DataFrame, join: Join = Join()) -> DataFrame:
         left = full.select(F.col("set").alias("a"), F.col("shingles").alias("left"))
         right = full.select(F.col("set").alias("b"), F.col("shingles").alias("right"))
         both = found.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-        return both.mapInArrow(lambda b: _linked(b, join.percent), "a long, b long")
+        return both.mapInArrow(freeing(lambda b: _linked(b, join.percent)), "a long, b long")
 
     links = written(linked(star), "links-1")
     labels = components(links)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from phasediff.llm import byte_bpe, language_id, licences, license_scan, lm_score, ngram_join, quality_classifier, suffix_dedup
 from phasediff.llm.queries import bpe_digests, registered
-from phasediff.llm.store import shipped, written
+from phasediff.llm.store import freeing, shipped, written
 from tests.conftest import DATA
 from tests.llm import brute
 
@@ -143,6 +143,21 @@ def test_passages_with_shared_parts(spark, monkeypatch, most):
     assert sorted(removed(df)) == sorted(brute.passages(rows))
 
 
+def test_bpe_equals_the_library(odd, docs):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    with open(path, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def expected(text):
+        ids = np.array(library.encode_ordinary(text or ""), np.uint32)
+        return len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()
+
+    for df in (odd, docs):
+        rows = [(r.doc_id, *expected(r.text)) for r in df.collect()]
+        assert brute.by_text(tuple(r) for r in bpe_digests(df).collect()) == brute.by_text(rows)
+
+
 def test_counts_leave_a_task_in_pieces():
     """A task's counts were one batch of each size; they are the same in several."""
     words = [f"w{k % 700}" for k in range(3000)]
@@ -177,19 +192,23 @@ def test_anchors_leave_a_task_in_pieces(bits):
     assert shares.max() < 0.35
 
 
-def test_bpe_equals_the_library(odd, docs):
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    with open(path, "rb") as file:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+def test_bpe_has_one_worker_a_task(odd):
+    """Of two in a row, each worker came to hold an encoder; one gives the same rows."""
+    plan = bpe_digests(odd)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    apart = byte_bpe.decode(byte_bpe.encode(odd, ranks, public_tokenizers.PATTERN), ranks)
+    both = byte_bpe.round_trip(odd, ranks, public_tokenizers.PATTERN)
+    assert brute.by_text(tuple(r) for r in both.collect()) == brute.by_text(tuple(r) for r in apart.collect())
 
-    def expected(text):
-        ids = np.array(library.encode_ordinary(text or ""), np.uint32)
-        return len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()
 
-    for df in (odd, docs):
-        rows = [(r.doc_id, *expected(r.text)) for r in df.collect()]
-        assert brute.by_text(tuple(r) for r in bpe_digests(df).collect()) == brute.by_text(rows)
+def test_tasks_get_small_batches_and_give_memory_back(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    texts = shipped(spark).range(0, 4000, 1, 1).selectExpr("repeat(cast(id % 10 as string), 3000) as text")
+    assert max(r.n for r in texts.mapInArrow(freeing(sizes), "n long").collect()) < 5 << 20
 
 
 @pytest.mark.parametrize("limit", [10, 60_000])
