@@ -12,8 +12,9 @@ shingles before it, so a group of copies costs its size and not its square. Wher
 several components after that, and a few documents, those of different components are compared with each
 other; where it has many, those of neighbouring size classes are. Where a class has many as well, one of them is
 their hub, and only documents are compared that have rare ones of the shingles in common in which they differ
-from the hub. Of these pairs only those leave the join whose parity maps
-differ in no more bits than linked sets may in shingles, and only at the first of consecutive signatures.
+from the hub. A pair leaves the join at its first two signatures in common and at few others, not at each of
+hundreds. Of the pairs only those are compared in full whose parity maps differ in no more bits than linked sets
+may in shingles; a map has as many bits as its set has shingles or more.
 """
 
 from __future__ import annotations
@@ -42,8 +43,9 @@ _SECOND = np.uint64(0xD6E8FEB86659FD93)
 _CHUNK = 1 << 20
 FILTER_BITS = 4
 
-#: Bits of the parity map of a set, in words of 64: bit h is set where an odd number of its shingles has it.
-#: Two maps differ in no more bits than their sets do in shingles.
+#: Words of 64 bits that a parity map has at least: bit h is set where an odd number of its set's shingles has it.
+#: Two maps differ in no more bits than their sets do in shingles. Larger sets have larger maps, in powers of two;
+#: a map folded to half its words is the smaller map of its set.
 MAP_WORDS = 16
 MAP = [f"m{k}" for k in range(MAP_WORDS)]
 
@@ -51,6 +53,9 @@ MAP = [f"m{k}" for k in range(MAP_WORDS)]
 SHARED = 2
 SMALL = 4
 
+#: A set's row of a signature has so many signatures before it: where two sets have two of them in common, they met.
+RECENT = 4
+
 #: Documents of a signature that so few have are compared with each other. Larger groups are cut by size class;
 #: where one is still larger, only documents are compared that have in common where they differ from the hub of
 #: the class. The links are the same.
@@ -93,15 +98,38 @@ def set_id(shingles: np.ndarray) -> int:
 
 
 def parity_map(shingles: np.ndarray) -> np.ndarray:
-    bits = np.bincount((mixed(shingles ^ _SECOND) % np.uint64(64 * MAP_WORDS)).astype(np.int64), minlength=64 * MAP_WORDS) & 1
+    size = 64 * max(MAP_WORDS, (1 << max(0, len(shingles) - 1).bit_length()) // 64)
+    bits = np.bincount((mixed(shingles ^ _SECOND) % np.uint64(size)).astype(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def folded(maps: DataFrame) -> DataFrame:
+    """set and its map in MAP_WORDS columns."""
+    turns = f"sequence(0, CAST(size(map) div {MAP_WORDS} AS int) - 1)"
+    return maps.select("set", *[F.expr(f"aggregate({turns}, 0L, (x, j) -> x ^ map[{MAP_WORDS} * j + {k}])").alias(m) for k, m in enumerate(MAP)])
+
+
+def _most(percent: int) -> str:
+    """SQL: in how many shingles two linked sets of n and n_2 may differ."""
+    return f"(n + n_2 - 2 * (({percent}L * (n + n_2) + {99 + percent}L) div {100 + percent}L))"
+
+
 def _alike(percent: int) -> str:
-    """SQL: the maps of two sets (n, n_2, m0 and so on) do not rule out that the sets link."""
-    differ = " + ".join(f"bit_count({m} ^ {m}_2)" for m in MAP)
-    shared = f"(({percent}L * (n + n_2) + {99 + percent}L) div {100 + percent}L)"
-    return f"{differ} <= n + n_2 - 2 * {shared}"
+    """SQL: the folded maps of two sets (n, n_2, m0 and so on) do not rule out that the sets link."""
+    return f"{' + '.join(f'bit_count({m} ^ {m}_2)' for m in MAP)} <= {_most(percent)}"
+
+
+def alike(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose maps (set, n, map) do not rule out that they link; their sizes do not."""
+
+    def as_small(own: str, other: str) -> str:
+        return f"IF(size({own}) > size({other}), transform({other}, (x, k) -> {own}[k] ^ {own}[k + size({other})]), {own})"
+
+    differ = f"zip_with({as_small('map', 'map_2')}, {as_small('map_2', 'map')}, (x, y) -> bit_count(x ^ y))"
+    left = maps.select(F.col("set").alias("a"), "n", "map")
+    right = maps.select(F.col("set").alias("b"), F.col("n").alias("n_2"), F.col("map").alias("map_2"))
+    both = pairs.select("a", "b").join(left, "a").join(right, "b")
+    return both.filter(f"aggregate({differ}, 0, (s, x) -> s + x) <= {_most(percent)}").select("a", "b")
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -220,6 +248,16 @@ def _signature_rows(parts: list[tuple], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
 
+def repeated(sigs: DataFrame) -> DataFrame:
+    """sig, set, n, place of the signatures that several sets have, a row for each set.
+
+    Each task with a copy of a set sends its signatures. Only one of these rows may stay: the others would make
+    pairs of copies at every signature, and one signature in common would count as several.
+    """
+    twice = sigs.groupBy("sig").agg(F.min("set").alias("low"), F.max("set").alias("high")).filter("low <> high").select("sig")
+    return sigs.join(twice, "sig").groupBy("sig", "set").agg(F.min("n").alias("n"), F.min("place").alias("place"))
+
+
 def _parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys = mixed(batch.column(0).to_numpy().view(np.uint64))
@@ -293,21 +331,19 @@ def _possible(percent: int, n: str, place: str, other_n: str, other_place: str)
     return f"100L * {most} >= {percent} * ({n} + {other_n} - {most})"
 
 
-def candidates(pairs: DataFrame, percent: int, told_once: bool = False) -> DataFrame:
-    """(a, b) of pairs (set, n, place, set_2, n_2, place_2), a row for each signature in common, that may link.
+def candidates(pairs: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of pairs (set, n, place, set_2, n_2, place_2) that may link.
 
-    The smallest places are those of the first signature in common. With told_once there is a row only for the
-    first of consecutive signatures in common; next and next_2, where equal, tell that another one follows.
+    There is a row for the first SHARED signatures in common at least. The smallest places are those of the first.
     """
     fits = f"100L * least(n, n_2) >= {percent}L * greatest(n, n_2)"
     pairs = pairs.filter("set <> set_2").filter(fits)
     own = F.col("set") < F.col("set_2")
     sides = [F.when(own, F.col(c)).otherwise(F.col(f"{c}_2")).alias(f"{c}_a") for c in ("n", "place")]
     sides += [F.when(own, F.col(f"{c}_2")).otherwise(F.col(c)).alias(f"{c}_b") for c in ("n", "place")]
-    pairs = pairs.select(F.least("set", "set_2").alias("a"), F.greatest("set", "set_2").alias("b"), *sides, *(["next", "next_2"] if told_once else []))
-    more = F.max(F.coalesce(F.col("next") == F.col("next_2"), F.lit(False)).cast("int")) if told_once else F.lit(0)
+    pairs = pairs.select(F.least("set", "set_2").alias("a"), F.greatest("set", "set_2").alias("b"), *sides)
     pairs = pairs.groupBy("a", "b", "n_a", "n_b").agg(
-        (F.count("*") + more).alias("shared"), F.min("place_a").alias("place_a"), F.min("place_b").alias("place_b")
+        F.count("*").alias("shared"), F.min("place_a").alias("place_a"), F.min("place_b").alias("place_b")
     )
     enough = (F.col("shared") >= SHARED) | (F.least("n_a", "n_b") < SMALL)
     return pairs.filter(enough).filter(_possible(percent, "n_a", "place_a", "n_b", "place_b")).select("a", "b")
@@ -398,8 +434,7 @@ def around_hubs(hubs: DataFrame, full: DataFrame, maps: DataFrame, percent: int)
     pairs = pairs.filter("label <> label_2 and not linked_2").filter(
         "CASE WHEN linked THEN at < outer AND at_2 < inner_2 ELSE set < set_2 AND at < outer AND at_2 < outer_2 END"
     )
-    most = f"(n + n_2 - 2 * (({percent}L * (n + n_2) + {99 + percent}L) div {100 + percent}L))"
-    pairs = pairs.filter(f"2 * least(d - at, d_2 - at_2) >= d + d_2 - {most}").filter(_alike(percent))
+    pairs = pairs.filter(f"2 * least(d - at, d_2 - at_2) >= d + d_2 - {_most(percent)}").filter(_alike(percent))
     beside_hub = apart.filter("linked").join(hubs.select("hub", "hub_label").distinct(), "hub").filter("label <> hub_label")
     pairs = pairs.select("set", "set_2").union(beside_hub.select("set", "hub"))
     return pairs.select(F.least("set", "set_2").alias("a"), F.greatest("set", "set_2").alias("b")).distinct()
@@ -426,22 +461,20 @@ def ngram_join(docs: DataFrame, join: Join = Join()) -> DataFrame:
     top = often.orderBy(F.desc("times"), "shingle").limit(FREQUENT).select("shingle").collect()
     frequent = np.sort(np.array([r[0] for r in top], np.int64).view(np.uint64))
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
-    maps = sets.filter("map is not null").groupBy("set").agg(F.first("map").alias("map"))
-    maps = maps.select("set", *[F.col("map")[k].alias(m) for k, m in enumerate(MAP)])
+    maps = sets.filter("map is not null").groupBy("set").agg(F.first("n").alias("n"), F.first("map").alias("map"))
     sets = sets.filter("row is not null").drop("often", "map")
 
     sigs = written(
         docs.select("text").mapInArrow(freeing(lambda b: _signatures(b, join, shared.value)), "sig long, set long, n int, place int"),
         "signatures",
     )
-    twice = sigs.groupBy("sig").count().filter("count > 1").select("sig")
-    many = written(sigs.join(twice, "sig"), "repeated-signatures")
+    many = written(repeated(sigs), "repeated-signatures")
     dropped(sigs)
     heads = many.groupBy("sig").agg(F.min(F.struct("place", "set", "n")).alias("head"))
     beside = many.join(heads, "sig").select(
         "set", "n", "place", F.col("head.set").alias("set_2"), F.col("head.n").alias("n_2"), F.col("head.place").alias("place_2")
     )
-    star = written(candidates(beside, join.percent), "star")
+    star = written(alike(candidates(beside, join.percent), maps, join.percent), "star")
     first = sets.filter("set is not null").groupBy("set").agg(F.min("row").alias("row"))
 
     def shingles_of(nodes: DataFrame) -> DataFrame:
@@ -463,9 +496,9 @@ def ngram_join(docs: DataFrame, join: Join = Join()) -> DataFrame:
     marked = many.join(labels.withColumnRenamed("node", "set"), "set", "left").select("sig", "set", "n", "place", label)
     mixed_sigs = marked.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"))
     marked = marked.join(mixed_sigs.filter("low <> high").select("sig", "members"), "sig")
-    # two sets that have a signature and the one before it in common meet at the one before already
     in_order = Window.partitionBy("set").orderBy("place", "sig")
-    marked = marked.withColumns({"before": F.lag("sig").over(in_order), "next": F.lead("sig").over(in_order)})
+    recent = [F.lag("sig", k).over(in_order) for k in range(1, RECENT + 1)]
+    marked = marked.withColumn("recent", F.array_compact(F.array(*recent)))
     # linked sets are of one size class or of neighbouring ones: in large groups only these meet
     size_class = F.floor(F.log("n") / F.log(F.lit(100 / join.percent)) + 1e-9).cast("int")
     cells = F.when(F.col("members") > DIRECT, F.array("class", F.col("class") + 1)).otherwise(F.array(F.lit(-1)))
@@ -479,21 +512,22 @@ def ngram_join(docs: DataFrame, join: Join = Join()) -> DataFrame:
         "sig", "cell", "members", F.col("hub.set").alias("hub"), F.col("hub.label").alias("hub_label"), F.col("head.label").alias("main")
     )
     marked = marked.join(mixed_cells, ["sig", "cell"])
-    few = marked.filter(F.col("members") <= DIRECT).join(maps, "set")
-    second = [F.col(c).alias(f"{c}_2") for c in ("set", "n", "place", "label", "before", "next", "class", *MAP)]
+    few = marked.filter(F.col("members") <= DIRECT)
+    second = [F.col(c).alias(f"{c}_2") for c in ("set", "n", "place", "label", "class", "recent")]
     strays = few.filter("label <> main").select("sig", "cell", *second)
     across = strays.join(few, ["sig", "cell"]).filter("label <> label_2 and (label = main or set > set_2)")
     across = across.filter("cell = -1 or class <> class_2 or cell = class")
     across = across.filter(f"100L * least(n, n_2) >= {join.percent}L * greatest(n, n_2)")
-    across = across.filter("NOT coalesce(before = before_2, false)").filter(_alike(join.percent))
-    rest = candidates(across.select("set", "n", "place", "next", "set_2", "n_2", "place_2", "next_2"), join.percent, True)
+    # two sets with SHARED recent signatures in common meet at these already, or at some before them
+    across = across.filter(F.size(F.array_intersect("recent", "recent_2")) < SHARED)
+    rest = candidates(across.select("set", "n", "place", "set_2", "n_2", "place_2"), join.percent)
     hubs = marked.filter((F.col("members") > DIRECT) & (F.col("set") != F.col("hub")))
     hubs = written(hubs.select("hub", "hub_label", "set", "n", "label").distinct(), "hubs")
     if not hubs.isEmpty():
         ends = hubs.select("set").union(hubs.select("hub")).distinct()
         full = written(shingles_of(ends), "hub-shingles")
-        rest = rest.union(around_hubs(hubs, full, maps, join.percent)).distinct()
-    rest = written(rest.join(star, ["a", "b"], "left_anti"), "rest")
+        rest = rest.union(around_hubs(hubs, full, folded(maps), join.percent)).distinct()
+    rest = written(alike(rest.join(star, ["a", "b"], "left_anti"), maps, join.percent), "rest")
     if not rest.isEmpty():
         labels = components(links.union(written(linked(rest), "links-2")))
 

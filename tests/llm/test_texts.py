@@ -99,6 +99,27 @@ def test_parity_maps_rule_no_link_out():
         assert differ <= len(np.setxor1d(a, b))
 
 
+def test_copies_of_a_set_count_once_at_a_signature(spark):
+    """Tasks that each hold a copy of a set send its signatures again; a signature of one set alone goes."""
+    rows = [(7, 1, 50, 3), (7, 1, 50, 3), (7, 2, 52, 4), (8, 1, 50, 5), (8, 1, 50, 5), (9, 2, 52, 6), (9, 3, 51, 0)]
+    sigs = spark.createDataFrame(rows, "sig long, set long, n int, place int").repartition(3)
+    kept = sorted(tuple(r) for r in ngram_join.repeated(sigs).select("sig", "set", "n", "place").collect())
+    assert kept == [(7, 1, 50, 3), (7, 2, 52, 4), (9, 2, 52, 6), (9, 3, 51, 0)]
+
+
+def test_maps_tell_long_sets_apart(spark):
+    """Also where one of the two sets has a map of twice the size; a linked pair is never ruled out."""
+    rng = np.random.default_rng(4)
+    base = np.unique(rng.integers(0, 2**63, 8300, dtype=np.uint64))
+    far = np.concatenate([base[:4000], np.unique(rng.integers(0, 2**63, 4300, dtype=np.uint64))])
+    sets = {1: base, 2: far, 3: base[:8000], 4: far[:8000]}
+    rows = [(k, len(v), ngram_join.parity_map(v).tolist()) for k, v in sets.items()]
+    maps = spark.createDataFrame(rows, "set long, n long, map array<long>")
+    pairs = spark.createDataFrame([(a, b) for a in sets for b in sets if a < b], "a long, b long")
+    kept = sorted(tuple(r) for r in ngram_join.alike(pairs, maps, 90).collect())
+    assert kept == [(1, 3), (2, 4)]
+
+
 def test_rows_behind_a_shuffle_keep_their_results(spark, docs):
     """The same rows, once from a file and once from a frame that a round-robin shuffle orders anew for each scan."""
     moved = docs.repartition(7)
