@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from phasediff import constants as K
 from phasediff.operators.ordering import presentation_sort
-from phasediff.operators.skew import skew_join
+from phasediff.operators.placed import ordered_left_joins
 
 LINE_KEYS = [
     "agency_id",
@@ -142,13 +142,13 @@ def expenditure_detail(
 ) -> DataFrame:
     """Current-year spending by month with the justification and the carry-forward purpose.
 
-    A line is repeated for each of its justifications and purposes; hot keys are spread, see `skew_join`.
+    A line is repeated for each of its justifications and purposes. The lines are moved once, see `ordered_left_joins`.
     """
     line_keys = ["agency_id", "program_id", "activity_id", "fund_id", "subobject_id"]
     reasons = line_item_report.select(*line_keys, "justification")
     purposes = carry_fwd.select(*line_keys, "object_id", F.col("text").alias("purpose"))
-    explained = skew_join(cur_exp, reasons, line_keys)
-    joined = skew_join(explained, purposes, [*line_keys, "object_id"])
+    rights = [(reasons, line_keys), (purposes, [*line_keys, "object_id"])]
+    joined = ordered_left_joins(cur_exp, rights, EXPENDITURE_SORT)
     # Report headings of the amounts.
     before = {
         "prior_adopted": "FY21 Adopted",
@@ -169,7 +169,7 @@ def expenditure_detail(
         "justification": "Justification",
     }
     dims = {k: DIMENSION_HEADINGS[k] for k in EXPENDITURE_SORT} | {"agency_name": "Agency"}
-    return presentation_sort(joined, *EXPENDITURE_SORT).select(
+    return joined.select(
         *headed(dims), *headed(before), *headed(K.MONTHS), *headed(after)
     )
 

@@ -395,29 +395,36 @@ class Fixtures:
         )
 
     @cached_property
-    def cur_expend(self) -> DataFrame:
-        sums = (
-            self.budget_line.withColumn("activity_id", F.expr("object_id % 3"))
-            .withColumnsRenamed({"service_id": "program_id", "service_name": "program_name"})
-            .groupBy(
-                "agency_id",
-                "agency_name",
-                "program_id",
-                "program_name",
-                "activity_id",
-                "fund_id",
-                "fund_name",
-                "object_id",
-                "object_name",
-                "subobject_id",
-            )
+    def _expenditure_sums(self) -> DataFrame:
+        """The sums of the expenditures; names that follow from a code are added after them."""
+        return (
+            self.budget_line.withColumnsRenamed({"service_id": "program_id", "service_name": "program_name"})
+            .groupBy("agency_id", "agency_name", "program_id", "program_name", "fund_id", "object_id", "subobject_id")
             .agg(
                 F.sum("amount_start").alias("curr_adopted"),
                 F.sum("amount_end").alias("tot_budget"),
                 F.expr("sum(amount_start - 10) AS ytd_exp"),
             )
         )
-        return sums.selectExpr(
+
+    @staticmethod
+    def _expenditures(sums: DataFrame) -> DataFrame:
+        coded = sums.selectExpr(
+            "agency_id",
+            "agency_name",
+            "program_id",
+            "program_name",
+            "object_id % 3 AS activity_id",
+            "fund_id",
+            f"{case_sql('fund_id', dict(LINE_FUNDS.values()))} AS fund_name",
+            "object_id",
+            f"{case_sql('object_id', OBJECTS)} AS object_name",
+            "subobject_id",
+            "curr_adopted",
+            "tot_budget",
+            "ytd_exp",
+        )
+        return coded.selectExpr(
             "*",
             "concat('Activity ', activity_id) AS activity_name",
             "concat('Subobject ', subobject_id) AS subobject_name",
@@ -435,10 +442,14 @@ class Fixtures:
             "tot_budget - ytd_exp - 8 AS surp_def",
         )
 
+    @cached_property
+    def cur_expend(self) -> DataFrame:
+        return self._expenditures(self._expenditure_sums)
+
     @cached_property
     def cur_expend_table(self) -> DataFrame:
-        """Stored once: three inputs of the expenditure detail derive from it."""
-        return materialize(self.cur_expend, "cur_expend")
+        """The sums are stored once: three inputs of the expenditure detail derive from them."""
+        return self._expenditures(materialize(self._expenditure_sums, "cur_expend"))
 
     @cached_property
     def line_item_report(self) -> DataFrame:
